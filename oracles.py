@@ -35,16 +35,21 @@ products AS (SELECT p_partkey AS product_id, p_name AS product_name,
 categories AS (SELECT DISTINCT CAST(regexp_extract(p_brand, '#(\\d+)', 1) AS INTEGER)
   AS category_id, p_brand AS category_name FROM part)"""
 
+# A fan-out repeats every line of an order equally often: it multiplies sums, and leaves averages
+# alone, which are therefore taken before it (the same number, without a second rounding).
 FEATURES = BASE + """,
+averages AS (SELECT order_id,
+  CAST(SUM(discount) AS DOUBLE) / COUNT(discount) AS avg_discount,
+  CAST(SUM(unit_price) AS DOUBLE) / COUNT(unit_price) AS avg_unit_price
+  FROM order_details GROUP BY order_id),
 features AS (SELECT c.customer_id, o.order_id, o.order_date,
   CAST(SUM(od.net) AS DOUBLE) AS net_spent, CAST(SUM(od.quantity) AS BIGINT) AS total_quantity,
-  CAST(SUM(od.discount) AS DOUBLE) / COUNT(od.discount) AS avg_discount,
-  CAST(SUM(od.unit_price) AS DOUBLE) / COUNT(od.unit_price) AS avg_unit_price,
+  any_value(a.avg_discount) AS avg_discount, any_value(a.avg_unit_price) AS avg_unit_price,
   COUNT(DISTINCT o2.order_id) AS total_orders, MAX(o2.order_date) AS recent_order,
   year(o.order_date)::VARCHAR || 'Q' || quarter(o.order_date)::VARCHAR AS year_quarter,
   c.country, c.city
   FROM customers c JOIN base_orders o ON c.customer_id = o.customer_id
-  JOIN nets od ON o.order_id = od.order_id
+  JOIN nets od ON o.order_id = od.order_id JOIN averages a ON a.order_id = o.order_id
   JOIN base_orders o2 ON c.customer_id = o2.customer_id
   WHERE o.order_date >= DATE '1997-05-06'
   GROUP BY c.customer_id, o.order_id, o.order_date, c.country, c.city)"""
@@ -133,11 +138,21 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY customer_id
 top AS (SELECT * FROM placed WHERE rank <= 5)"""
 
 
+def _quantile(values: str, p: str) -> str:
+    """Linear interpolation between two ranks, from the nearer one, of a sorted list."""
+    place = f"(CAST({p} AS DOUBLE) * (len({values}) - 1))"
+    low = f"{values}[CAST(floor({place}) AS BIGINT) + 1]"
+    high = f"{values}[CAST(ceil({place}) AS BIGINT) + 1]"
+    part = f"({place} - floor({place}))"
+    return (f"CASE WHEN {part} >= 0.5 THEN {high} - ({high} - {low}) * (1 - {part})"
+            f" ELSE {low} + ({high} - {low}) * {part} END")
+
+
 def _bounds(name: str, source: str, col: str) -> str:
-    return (f"{name} AS (SELECT q1, q3, q3 - q1 AS iqr, q1 - (q3 - q1) * CAST(1.5 AS DOUBLE) AS lo,"
-            f" q3 + (q3 - q1) * CAST(1.5 AS DOUBLE) AS hi FROM (SELECT"
-            f" quantile_cont(CAST({col} AS DOUBLE), 0.25) AS q1,"
-            f" quantile_cont(CAST({col} AS DOUBLE), 0.75) AS q3 FROM {source}))")
+    return (f"{name} AS (SELECT q1, q2, q3, q3 - q1 AS iqr, q1 - (q3 - q1) * CAST(1.5 AS DOUBLE) AS lo,"
+            f" q3 + (q3 - q1) * CAST(1.5 AS DOUBLE) AS hi FROM (SELECT {_quantile('v', '0.25')} AS q1,"
+            f" {_quantile('v', '0.5')} AS q2, {_quantile('v', '0.75')} AS q3"
+            f" FROM (SELECT list_sort(list(CAST({col} AS DOUBLE))) AS v FROM {source})))")
 
 
 def _per_column(source: str, cols: list[str], select: str) -> str:
@@ -270,7 +285,7 @@ COLUMNS: dict[str, dict[str, str]] = {
     "outlier_customers": {"customer_id": "i", "n_outlier_orders": "i"},
     "table_preview": LINE_COLUMNS,
     "table_profile": {"column": "s", "type": "s", "n_rows": "i", "n_null": "i"},
-    "describe_numeric": {"column": "s", "count": "i", "mean": "r6", "std": "r6", "min": "d",
+    "describe_numeric": {"column": "s", "count": "i", "mean": "r4", "std": "r4", "min": "d",
                          "q25": "d", "q50": "d", "q75": "d", "max": "d"},
     "boxplot_stats": {"column": "s", "q1": "d", "median": "d", "q3": "d", "whisker_low": "d",
                       "whisker_high": "d", "n_fliers": "i"},
@@ -389,19 +404,17 @@ WHERE net_spent < lo OR net_spent > hi GROUP BY customer_id""",
     "table_profile": f"WITH {LINES} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", '{t}' AS type, count(*) AS n_rows,"
         f" count(*) - count({c}) AS n_null FROM lines" for c, t in LINE_TYPES.items()),
-    "describe_numeric": f"WITH {LINES} " + " UNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count({c}) AS count, avg(CAST({c} AS DOUBLE)) AS mean,"
-        f" stddev_samp(CAST({c} AS DOUBLE)) AS std, min({c}) AS min,"
-        f" quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q25,"
-        f" quantile_cont(CAST({c} AS DOUBLE), 0.5) AS q50,"
-        f" quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q75, max({c}) AS max FROM lines"
-        for c in RETURN_FEATURES),
+    "describe_numeric": f"WITH {LINES} " + _per_column(
+        "lines", RETURN_FEATURES,
+        "SELECT '{c}' AS \"column\", count({c}) AS count, avg({v}) AS mean,"
+        " stddev_samp({v}) AS std, min({v}) AS min, any_value(q1) AS q25, any_value(q2) AS q50,"
+        " any_value(q3) AS q75, max({v}) AS max FROM {source}, b"),
     "boxplot_stats": f"WITH {LINES} " + _per_column(
         "lines", RETURN_FEATURES,
-        "SELECT '{c}' AS \"column\", q1, quantile_cont({v}, 0.5) AS median, q3,"
+        "SELECT '{c}' AS \"column\", q1, q2 AS median, q3,"
         " min({v}) FILTER ({v} >= lo AND {v} <= hi) AS whisker_low,"
         " max({v}) FILTER ({v} >= lo AND {v} <= hi) AS whisker_high,"
-        " count(*) FILTER ({v} < lo OR {v} > hi) AS n_fliers FROM {source}, b GROUP BY q1, q3"),
+        " count(*) FILTER ({v} < lo OR {v} > hi) AS n_fliers FROM {source}, b GROUP BY q1, q2, q3"),
     "discount_spend_bins": f"""WITH {LINES} SELECT CAST(discount * 100 AS BIGINT) AS discount_bin,
   CAST(floor(net_spent / 1000) AS BIGINT) AS spend_bin, is_returned, count(*) AS n
 FROM lines GROUP BY ALL""",

@@ -152,8 +152,8 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
     per customer. Returns the model, the recommendations and the metric rows."""
     cols, label, key = recommend.RECOMMEND_FEATURES, "purchased", "pair_id"
     ids = ["customer_id", "product_id"]
-    features = recommend.recommend_features(tables, candidates).select(
-        *ids, F.concat_ws("|", *ids).alias(key), label, *cols)
+    features = materialize(recommend.recommend_features(tables, candidates).select(
+        *ids, F.concat_ws("|", *ids).alias(key), label, *cols), "recommend-features")
     rows = materialize(stratified_split(features, label, key, seed=cfg.seed), "recommend-rows")
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     scaling = learners.scaling_stage(rows if cfg.scale_before_split else train, cols)
@@ -170,10 +170,10 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
             held.withColumn("is_synthetic", F.lit(0)))
     else:
         ready = smote(ready, _scaled_columns(cols), label, key, cfg.smote_ratio, seed=cfg.seed)
+    ready = materialize(ready, "recommend-train")
     weight = "weight" if cfg.balanced_weights else None
     if weight:
         ready = class_weights(ready, label)
-    ready = materialize(ready, "recommend-train")
     model = learners.fitted([scaling], cols, learners.boosted_trees(
         label, cfg.trees, cfg.rate, cfg.depth, weight, validation, cfg.seed), ready)
 
