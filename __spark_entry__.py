@@ -63,16 +63,19 @@ def _closed_form_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.score_threshold(scored, 0.5, "score")
 
 
-def _closed_form_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _closed_form_grid(spark: SparkSession, sf_dir: str,
+                      known: recommend.Summaries | None = None) -> DataFrame:
     """The whole grid with a score computed from its columns."""
     buyers = F.col("product_buyers")
     score = F.col("category_spend_share") + buyers / (buyers + 10.0) / (1 + F.col("price_ratio"))
-    return recommend.recommend_features(_tables(spark, sf_dir)).withColumn(
+    return recommend.recommend_features(_tables(spark, sf_dir), known=known).withColumn(
         "purchase_probability", score)
 
 
 def _closed_form_top(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recommend.recommend_top(_closed_form_grid(spark, sf_dir), _tables(spark, sf_dir))
+    tables = _tables(spark, sf_dir)
+    known = recommend.summarize(tables)
+    return recommend.recommend_top(_closed_form_grid(spark, sf_dir, known), tables, known=known)
 
 
 def _linear_score(df: DataFrame) -> DataFrame:

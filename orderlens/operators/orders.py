@@ -38,9 +38,10 @@ def order_features(tables: Tables, since: str = "1997-05-06", fanout: bool = Tru
     columns and never a set of rows. ``fanout=False`` gives the true totals.
     """
     orders = tables["orders"].where(F.col("order_date") >= F.lit(since).cast("date"))
-    joined = (orders.join(order_sums(tables), "order_id")
-              .join(customer_order_history(tables), "customer_id")
-              .join(tables["customers"], "customer_id"))
+    # One row per customer first, so that orders meet customers in one join, whose skew
+    # adaptive execution can split.
+    customers = tables["customers"].join(customer_order_history(tables), "customer_id")
+    joined = orders.join(order_sums(tables), "order_id").join(customers, "customer_id")
     times = (F.col("total_orders") if fanout else F.lit(1)).cast("decimal(10,0)")
     features = joined.select(
         "customer_id", "order_id", "order_date",

@@ -9,23 +9,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import flag
-from ..functions.quantiles import RankTarget, order_statistics, quantile_table, unpivot
+from ..functions.quantiles import RankTarget, narrow, order_statistics, quantile_table, unpivot
 from ..sources.store import materialize
 
 
-def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
-    """q1, q3 and the bounds k interquartile ranges outside them, one row per column."""
+def _bounds(df: DataFrame, cols: Sequence[str], k: float) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     return quantile_table(df, cols, [0.25, 0.75], ["q1", "q3"]).select(
         "column", "q1", "q3", iqr.alias("iqr"),
         (F.col("q1") - iqr * k).alias("lower"), (F.col("q3") + iqr * k).alias("upper"))
 
 
+def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
+    """q1, q3 and the bounds k interquartile ranges outside them, one row per column."""
+    return _bounds(narrow(df, cols), cols, k)
+
+
 def outlier_report(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Number and percentage (of all rows) of outliers per column."""
+    df = narrow(df, cols)
     outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
     values = unpivot(df, cols, keep_nulls=True)
-    return (values.join(F.broadcast(iqr_bounds(df, cols, k)), "column")
+    return (values.join(F.broadcast(_bounds(df, cols, k)), "column")   # one row per column
             .groupBy("column", "lower", "upper")
             .agg(F.sum(flag(outside)).alias("n_outliers"), F.count("*").alias("_rows"))
             .select("column", "n_outliers",
@@ -42,7 +47,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataF
     """
     kept = materialize(df, "remove-outliers")
     for col in cols:
-        bounds = iqr_bounds(kept, [col], k).first()
+        bounds = _bounds(kept, [col], k).first()
         if bounds is not None:
             kept = kept.where(F.col(col).between(bounds["lower"], bounds["upper"]))
     return kept
@@ -51,7 +56,7 @@ def remove_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataF
 def winsorize(df: DataFrame, col: str, low: float = 0.05, high: float = 0.05) -> DataFrame:
     """``df`` + ``<col>_winsorized``: the lowest and highest shares of rows take the value of
     the nearest remaining row; and ``<col>_1k``, the raw column in thousands."""
-    limits = order_statistics(df, [col], [
+    limits = order_statistics(narrow(df, [col]), [col], [
         RankTarget("low", low, lambda n: F.floor(n * F.lit(low))),
         RankTarget("high", 1 - high, lambda n: n - 1 - F.floor(n * F.lit(high)))])
     limit = limits.agg(F.struct(*[
@@ -65,7 +70,8 @@ def winsorize(df: DataFrame, col: str, low: float = 0.05, high: float = 0.05) ->
 
 def outlier_customers(df: DataFrame, col: str = "net_spent", k: float = 1.5) -> DataFrame:
     """Customers with outlying orders and how many they have."""
-    bounds = iqr_bounds(df, [col], k).select(F.struct("lower", "upper")).scalar()
+    df = materialize(df.select("customer_id", col), "customer-values")
+    bounds = _bounds(df, [col], k).select(F.struct("lower", "upper")).scalar()
     outside = (F.col(col) < bounds.getField("lower")) | (F.col(col) > bounds.getField("upper"))
     return (df.groupBy("customer_id").agg(F.sum(flag(outside)).alias("n_outlier_orders"))
             .where("n_outlier_orders <> 0")
@@ -87,6 +93,7 @@ def table_profile(df: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean, sample standard deviation, minimum, quartiles, maximum per column."""
+    df = narrow(df, cols)
     basic = unpivot(df, cols).groupBy("column").agg(
         F.count("*").alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
@@ -98,11 +105,12 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFrame:
     """Quartiles, the outermost values within k interquartile ranges, and the values beyond."""
+    df = narrow(df, cols)
     quartiles = quantile_table(df, cols, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     reach = (F.col("q3") - F.col("q1")) * k
     value = F.col("value")
     inside = (value >= F.col("q1") - reach) & (value <= F.col("q3") + reach)
-    return (unpivot(df, cols).join(F.broadcast(quartiles), "column")
+    return (unpivot(df, cols).join(F.broadcast(quartiles), "column")   # one row per column
             .groupBy("column", "q1", "median", "q3").agg(
                 F.min(F.when(inside, value)).alias("whisker_low"),
                 F.max(F.when(inside, value)).alias("whisker_high"),
@@ -127,13 +135,13 @@ def pair_bins(df: DataFrame, cols: Sequence[str], n_bins: int = 20) -> DataFrame
     Rows are first counted per combination of all bins, so the fan-out to pairs works on
     that much smaller table.
     """
+    df = narrow(df, cols)
     extent = df.agg(F.struct(*[e for c in cols for e in (
-        F.min(F.col(c).cast("double")).alias(f"min_{c}"),
-        F.max(F.col(c).cast("double")).alias(f"max_{c}"))])).scalar()
+        F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))])).scalar()
 
     def bin_of(col: str):
         low, high = extent.getField(f"min_{col}"), extent.getField(f"max_{col}")
-        share = F.try_divide(F.col(col).cast("double") - low, high - low)
+        share = F.try_divide(F.col(col) - low, high - low)
         within = F.least(F.floor(share * n_bins), F.lit(n_bins - 1))
         return F.when(F.col(col).isNotNull(), F.coalesce(within, F.lit(0))).cast("bigint")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import draw_hash, uniform
+from ..sources.store import materialize
 from .neighbors import neighbour_lists
 
 
@@ -24,6 +25,7 @@ def _draw_cuts(drawn: DataFrame, label: str, wanted: Callable[[Column], Column])
     of the class.
     """
     prefix = F.substring("_draw", 1, 4)
+    drawn = materialize(drawn.select(label, "_draw"), "draws")   # read twice, so written narrow
     counts = drawn.groupBy(label, prefix.alias("_prefix")).agg(F.count("*").alias("_rows"))
     by_class = Window.partitionBy(label)
     upto = by_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -32,7 +34,7 @@ def _draw_cuts(drawn: DataFrame, label: str, wanted: Callable[[Column], Column])
              .where("_upto >= _want and _upto - _rows < _want")
              .select(label, "_prefix", (F.col("_want") - F.col("_upto") + F.col("_rows"))
                      .alias("_nth")))
-    nearby = drawn.select(label, "_draw", prefix.alias("_prefix")).join(
+    nearby = drawn.withColumn("_prefix", prefix).join(
         F.broadcast(edges), [label, "_prefix"])   # one edge per class
     order = Window.partitionBy(label).orderBy("_draw")
     return (nearby.withColumn("_rank", F.row_number().over(order)).where("_rank = _nth")
@@ -76,9 +78,10 @@ def standard_scale(df: DataFrame, cols: Sequence[str],
                    fit_on: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Scale columns to mean 0 and population standard deviation 1, measured on ``fit_on``."""
     params = scale_params(df if fit_on is None else fit_on, cols)
-    by_column = params.agg(F.map_from_entries(F.collect_list(
-        F.struct("column", F.struct("mean", "std"))))).scalar()   # one entry per column name
-    scaled = {c: (F.col(c).cast("double") - by_column[c]["mean"]) / by_column[c]["std"]
+    fitted = params.agg(F.struct(*[e for c in cols for e in (
+        F.max(F.when(F.col("column") == c, F.col("mean"))).alias(f"mean_{c}"),
+        F.max(F.when(F.col("column") == c, F.col("std"))).alias(f"std_{c}"))])).scalar()
+    scaled = {c: (F.col(c).cast("double") - fitted[f"mean_{c}"]) / fitted[f"std_{c}"]
               for c in cols}
     return df.withColumns(scaled), params
 

@@ -152,7 +152,8 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
     per customer. Returns the model, the recommendations and the metric rows."""
     cols, label, key = recommend.RECOMMEND_FEATURES, "purchased", "pair_id"
     ids = ["customer_id", "product_id"]
-    features = materialize(recommend.recommend_features(tables, candidates).select(
+    known = recommend.summarize(tables)
+    features = materialize(recommend.recommend_features(tables, candidates, known).select(
         *ids, F.concat_ws("|", *ids).alias(key), label, *cols), "recommend-features")
     rows = materialize(stratified_split(features, label, key, seed=cfg.seed), "recommend-rows")
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
@@ -180,7 +181,7 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
     probability = "purchase_probability"
     scored = materialize(learners.probability_of(model, rows, probability).select(
         *ids, label, "split", probability), "recommend-scores")
-    top = recommend.recommend_top(scored, tables, cfg.k, probability, cfg.exclude_purchased)
+    top = recommend.recommend_top(scored, tables, cfg.k, probability, cfg.exclude_purchased, known)
     tested = scored.where("split = 'test'").select(
         label, probability, F.when(F.col(probability) > 0.5, 1).otherwise(0).alias("prediction"))
     precision = recommend.precision_at_k(
