@@ -1,5 +1,6 @@
 """orderlens: order-history analytics as Spark DataFrame transformations.
 
-Every operator takes DataFrames and returns a DataFrame; nothing runs until the caller
-asks for it, apart from the training jobs and a few bounded look-ups named in their docs.
+Operators take DataFrames and return DataFrames. Most are lazy; those that pass over their
+input several times (quantiles, splits, neighbours, the customer x product grid, training)
+first write what they read again to a work table, when they are called.
 """

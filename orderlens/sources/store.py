@@ -21,10 +21,11 @@ def work_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    own = tempfile.mkdtemp(prefix="orderlens-")
-    spark.conf.set("orderlens.local.work.dir",
-                   spark.conf.get("orderlens.local.work.dir", own))
-    return spark.conf.get("orderlens.local.work.dir")
+    own = spark.conf.get("orderlens.local.work.dir", None)
+    if not own:
+        own = tempfile.mkdtemp(prefix="orderlens-")
+        spark.conf.set("orderlens.local.work.dir", own)
+    return own
 
 
 def new_work_path(spark: SparkSession, name: str) -> str:
@@ -33,7 +34,8 @@ def new_work_path(spark: SparkSession, name: str) -> str:
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to a shared work table and read it back, so that iterative work
-    neither recomputes the plan behind it nor loses it with an executor."""
+    neither recomputes the plan behind it nor loses it with an executor. Work tables stay
+    until the work folder is cleared, as returned frames may still read them."""
     path = new_work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
