@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -21,6 +22,14 @@ from orderlens.sources import (load_model, new_work_path, read_recommendations_c
                                read_split, save_model, tables_from_star_schema,
                                write_recommendations_csv, write_splits)
 
+# The training-data operators and their pipeline are an add-on: without them the rest still works.
+LLM = importlib.util.find_spec("orderlens.llm") is not None
+if LLM:
+    from orderlens.llm import queries as llm_queries  # noqa: E402
+PIPELINE = importlib.util.find_spec("corpus_pipeline") is not None
+if PIPELINE:
+    import corpus_pipeline  # noqa: E402
+
 # The test data has no discount above 0.10, so the rule label uses lower limits than the default.
 RULE = {"discount_min": 0.08, "net_max": 10_000}
 LINE_FEATURES = returns.RETURN_FEATURES
@@ -284,8 +293,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "reorder_scores": _reorder_scores,
         "recommend_scores": _recommend_scores,
     }
+    if LLM:
+        result |= llm_queries.QUERIES
+    if PIPELINE:
+        result["pipeline"] = corpus_pipeline.run
     return result
 
 
 def oracle_sql() -> dict[str, str]:
-    return {key: oracles.oracle_text(key) for key in oracles.BODIES}
+    result = {key: oracles.oracle_text(key) for key in oracles.BODIES}
+    if LLM:
+        result |= llm_queries.ORACLES
+    if PIPELINE and corpus_pipeline.ORACLE_SQL is not None:
+        result["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return result
