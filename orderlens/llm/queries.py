@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.sources import new_work_path
 
-from . import token_planes
+from . import mixing, packing, token_planes, topk
 
 
 def _vocabulary(name: str) -> str:
@@ -18,6 +18,27 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+TOP_K = """
+WITH v AS (SELECT vec_id, [floor(CAST(x AS DOUBLE) * 256) FOR x IN embedding] AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.v, x.v) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id % 50 = 0 AND x.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+  AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(_read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_read(spark, sf_dir, "documents"),
+                                  _vocabulary("word_bpe_49k.json"), end_id=1)
+
+
 def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_work_path(spark, "token-planes")
     token_planes.write_tokens(_read(spark, sf_dir, "documents"), path,
@@ -25,5 +46,11 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.document_checksums(spark, path)
 
 
-QUERIES = {"op5_token_planes": op5_token_planes}
-ORACLES: dict[str, str] = {}
+def op10_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.integer_vectors(_read(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
+
+
+QUERIES = {"op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
+           "op4_best_fit_packing": op4_best_fit_packing, "op5_token_planes": op5_token_planes}
+ORACLES: dict[str, str] = {"op10_segment_top_k": TOP_K}
