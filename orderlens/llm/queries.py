@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlens.sources import new_work_path
 
-from . import mixing, packing, token_planes, topk
+from . import mixing, packing, partenum, token_planes, topk
 
 
 def _vocabulary(name: str) -> str:
@@ -46,11 +46,16 @@ def op5_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_planes.document_checksums(spark, path)
 
 
+def op9_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.similarity_classes(_read(spark, sf_dir, "documents"))
+
+
 def op10_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.integer_vectors(_read(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
 QUERIES = {"op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
-           "op4_best_fit_packing": op4_best_fit_packing, "op5_token_planes": op5_token_planes}
+           "op4_best_fit_packing": op4_best_fit_packing, "op5_token_planes": op5_token_planes,
+           "op9_partenum_join": op9_partenum_join}
 ORACLES: dict[str, str] = {"op10_segment_top_k": TOP_K}
