@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlens.sources import new_work_path
 
-from . import mixing, packing, partenum, token_planes, topk
+from . import mixing, packing, partenum, repeats, token_planes, topk
 
 
 def _vocabulary(name: str) -> str:
@@ -29,6 +30,11 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
 
 
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_read(spark, sf_dir, "documents"), length=100).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "source")
@@ -55,7 +61,8 @@ def op10_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
-QUERIES = {"op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
+QUERIES = {"op1_suffix_array_dedup": op1_suffix_array_dedup,
+           "op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
            "op4_best_fit_packing": op4_best_fit_packing, "op5_token_planes": op5_token_planes,
            "op9_partenum_join": op9_partenum_join}
 ORACLES: dict[str, str] = {"op10_segment_top_k": TOP_K}
