@@ -85,6 +85,13 @@ def _exact(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return (q * x).sum(axis=-1)
 
 
+def _products(q: np.ndarray, x: np.ndarray, qf: np.ndarray, xf: np.ndarray) -> np.ndarray:
+    """All inner products; in floating point where that is exact, which is much faster."""
+    if np.abs(qf).max(initial=0) * np.abs(xf).max(initial=0) * q.shape[1] < 2.0 ** 53:
+        return qf @ xf.T
+    return np.stack([_exact(row[None, :], x) for row in q])
+
+
 def block_top(q_ids, q, x_ids, x, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict]:
     """The k best vectors of a block for each query: query rows, vector rows, scores; and how
     many pairs each level of statistics left."""
@@ -93,31 +100,34 @@ def block_top(q_ids, q, x_ids, x, k: int) -> tuple[np.ndarray, np.ndarray, np.nd
     dim, counts = q.shape[1], {}
     levels = [n for n in (1, 4, 16) if n < dim] if dim else []
     slack = 1.0 + 1e-9 * np.sqrt((qf * qf).sum(1))[:, None] * np.sqrt((xf * xf).sum(1))[None, :]
-    floor = np.full(len(q), -np.inf)
-    alive = ~own
+    floor, alive = np.full(len(q), -np.inf), ~own
     for n in levels:
         upper = _statistics(qf, n) @ _statistics(xf, n).T
         upper += slack
         upper[own] = -np.inf
-        # k likely winners give each query a score that the k best must reach.
-        likely = np.argpartition(-upper, min(k, len(x) - 1), axis=1)[:, :k]
-        scores = _exact(q[:, None, :], x[likely]).astype(float)
-        scores[np.take_along_axis(own, likely, axis=1)] = -np.inf
-        if likely.shape[1] == k:
-            floor = np.maximum(floor, scores.min(axis=1))
+        if n == levels[0] and k < len(x):
+            # k likely winners give each query a score that the k best must reach.
+            likely = np.argpartition(-upper, k, axis=1)[:, :k]
+            scores = _exact(q[:, None, :], x[likely]).astype(float)
+            scores[np.take_along_axis(own, likely, axis=1)] = -np.inf
+            floor = scores.min(axis=1)
         alive &= upper >= floor[:, None]
         counts[n] = int(alive.sum())
-    rows, columns = np.nonzero(alive)
-    step = max(1, (1 << 22) // max(dim, 1))
-    parts = [_exact(q[rows[i:i + step]], x[columns[i:i + step]])
-             for i in range(0, len(rows), step)]
-    scores = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    order = np.lexsort((x_ids[columns], [-int(s) for s in scores] if scores.dtype == object
-                        else -scores, rows))
-    rows, columns, scores = rows[order], columns[order], scores[order]
+    # Survivors: the vectors that any query of the block still needs.
+    columns = np.flatnonzero(alive.any(axis=0))
+    scores = _products(q, x[columns], qf, xf[columns])
+    there = alive[:, columns]
+    masked = np.where(there, scores, -np.inf).astype(float)
+    if len(columns) > k:
+        least = np.partition(masked, len(columns) - k, axis=1)[:, len(columns) - k]
+        there &= masked >= least[:, None]
+    rows, at = np.nonzero(there)
+    best, ids = scores[rows, at], x_ids[columns[at]]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i], -int(best[i]), ids[i]))
+    rows, at, best = rows[order], at[order], best[order]
     first = np.searchsorted(rows, np.arange(len(q)))
     keep = np.arange(len(rows)) - first[rows] < k
-    return rows[keep], columns[keep], scores[keep], counts
+    return rows[keep], columns[at[keep]], best[keep], counts
 
 
 def _search(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
