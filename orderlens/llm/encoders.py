@@ -6,12 +6,17 @@ import functools
 import json
 import os
 import re
-
-import numpy as np
+from array import array
 
 _LATE_SPACE = re.compile(r"[^\S ] ")
 
 
+def _ends_in_letter(word: str) -> bool:
+    """Whether the last character is a Latin letter that stays one letter in lower case."""
+    last = word[-1:]
+    return last.isalpha() and last < "\u0250" and len(last.lower()) == 1
+
+
 class WordEncoder:
     """Gives for each text the ids that ``tokenizers`` gives for it, as little-endian unsigned
     32-bit numbers.
@@ -22,24 +27,46 @@ class WordEncoder:
     Texts in which a space follows other white space are encoded whole.
     """
 
-    def __init__(self, path: str, keep: int = 300_000):
+    def __init__(self, path: str, keep: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
-            self.spaces_count = json.load(file)["pre_tokenizer"]["type"] == "ByteLevel"
+            described = json.load(file)
+        self.spaces_count = described["pre_tokenizer"]["type"] == "ByteLevel"
+        # Added tokens are matched before letters are lowered, so texts with "<|" stay as they are.
+        self.lower_case = "Lowercase" in json.dumps(described["normalizer"])
         self.keep, self.first, self.later = keep, {}, {}
+        self.unmerged = {x.content for x in self.tokenizer.get_added_tokens_decoder().values()}
+        self.points = dict(zip([",", "."], self._library([",", "."])))
 
     def _library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _merged(self, words: list[str], mark: str) -> list[bytes]:
+        """Ids of words of ASCII letters, which need no more than the vocabulary's merges."""
+        merge = self.tokenizer.model.tokenize
+        return [array("I", [x.id for x in merge(mark + w)]).tobytes() for w in words]
 
     def _learn(self, known: dict, words: set, before: str) -> None:
-        new = sorted(words - known.keys())
+        new = [w for w in words if w not in known]
         if len(known) + len(new) > self.keep:
             known.clear()
-            new = sorted(words)
-        known.update(zip(new, self._library([before + w for w in new])))
+            new = list(words)
+        # A comma or full stop after a Latin letter is split off by both vocabularies.
+        pointed = [w for w in new if w[-1:] in self.points and _ends_in_letter(w[:-1])]
+        ask = set(new).difference(pointed)
+        ask.update(s for s in (w[:-1] for w in pointed) if s not in known)
+        plain = [w for w in ask if w.isascii() and w.isalpha() and w not in self.unmerged]
+        if self.spaces_count:
+            known.update(zip(plain, self._merged(plain, "\u0120" if before else "")))
+        else:
+            known.update(zip(plain, self._merged([w.lower() for w in plain], "")))
+        ask = list(ask.difference(plain))
+        known.update(zip(ask, self._library([before + w for w in ask])))
+        for w in pointed:
+            known[w] = known[w[:-1]] + self.points[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         whole = {}
@@ -47,6 +74,8 @@ class WordEncoder:
             whole = {i: None for i, t in enumerate(texts) if "  " in t or _LATE_SPACE.search(t)}
             for i, ids in zip(whole, self._library([texts[i] for i in whole])):
                 whole[i] = ids
+        elif self.lower_case:
+            texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
         split = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
         if not self.spaces_count:
             self._learn(self.later, set().union(*split), "")
