@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.sources import materialize
+from .tables import written
 
 
 def _both_ways(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,7 @@ def components(edges: DataFrame) -> DataFrame:
     def distinct(df: DataFrame) -> DataFrame:
         return df.where("a <> b").distinct()
 
-    stars = materialize(distinct(edges.select(
+    stars = written(distinct(edges.select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))), "stars")
     seen = None
     while True:
@@ -31,11 +31,11 @@ def components(edges: DataFrame) -> DataFrame:
         least = around.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = around.join(least, "a").where("b > a").select(F.col("b").alias("a"),
                                                               F.col("low").alias("b"))
-        large = materialize(distinct(large), "stars")
+        large = written(distinct(large), "stars")
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = down.groupBy("a").agg(F.min("b").alias("low"))
         small = down.join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        stars = materialize(distinct(small.union(low.select("a", F.col("low").alias("b")))),
+        stars = written(distinct(small.union(low.select("a", F.col("low").alias("b")))),
                             "stars")
         state = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == seen:

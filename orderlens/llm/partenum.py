@@ -18,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from orderlens.sources import materialize
-
 from .arrowtext import RollingHash, documents, mix, partitions, slices, utf8
 from .components import components
+from .tables import written
 
 #: Members of a candidate group that one task compares with their leader.
 GROUP_ROWS = 2000
 _SEED_WORDS, _SEED_SETS = 11, 12
+_SKETCH = 8   # longs
+ROUNDS = 3
 _LIGHT = 2   # signatures of fewer elements are left out where they aren't needed
 
 
@@ -103,8 +104,9 @@ class Bands:
 
 
 def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
-               ) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of the sets, and the number of the set each belongs to.
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the sets, the number of the set each belongs to, and whether it is one for
+    the next band (two sets that both have it so also meet in their own band).
 
     A part with a pair of sub-parts of fewer than two elements is light. A set with no more light
     parts than there are parts beyond differ / 2 + 1 has a full one among those it shares with any
@@ -113,14 +115,14 @@ def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
     """
     sizes = np.diff(at)
     if not len(sets):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
     bands = Bands(similarity, int(sizes.max()))
     band = bands.of(sizes)
     spread = mix(sets + np.uint64(0x51ED270B))
     high, low = spread >> np.uint64(32), spread & np.uint64(0xFFFFFFFF)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     value = mix(sets ^ np.uint64(0xA0761D6478BD642F))
-    found, owners = [], []
+    found, owners, upper = [], [], []
     for step in (0, 1):
         tag = band + step
         used = (sizes > 0) & (bands.differ[tag] > 0)
@@ -150,11 +152,12 @@ def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
             keep = keep_all | (held[:, k] >= _LIGHT)
             found.append(mix(sums[keep, a] + sums[keep, b] + mix(label[keep] + np.uint64(k))))
             owners.append(pair_of[keep])
-    return np.concatenate(found), np.concatenate(owners)
+            upper.append(np.full(len(owners[-1]), bool(step)))
+    return np.concatenate(found), np.concatenate(owners), np.concatenate(upper)
 
 
 def _features(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Per document: size of its set, a fingerprint of it, and a sketch: 256 bits, each the parity
+    """Per document: size of its set, a fingerprint of it, and a sketch: 512 bits, each the parity
     of the elements that fall on it, so two sketches differ in no more bits than their sets."""
     for part in slices(batches):
         sets, at = shingle_sets(part.column("text"), words)
@@ -167,10 +170,11 @@ def _features(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             highs = np.bincount(owner, (v >> np.uint64(32)).astype(float), n)
             total = lows.astype(np.uint64) + (highs.astype(np.uint64) << np.uint64(32))
             columns[name] = pa.array(mix(total).view(np.int64), pa.int64())
-        bit = (mix(sets + np.uint64(99)) >> np.uint64(56)).astype(np.int64)
-        parity = (np.bincount(owner * 256 + bit, minlength=n * 256) & 1).astype(np.uint8)
-        longs = np.packbits(parity.reshape(n, 256), axis=1).view(np.int64).reshape(n, 4)
-        for k in range(4):
+        bits = 64 * _SKETCH
+        bit = (mix(sets + np.uint64(99)) % np.uint64(bits)).astype(np.int64)
+        parity = (np.bincount(owner * bits + bit, minlength=n * bits) & 1).astype(np.uint8)
+        longs = np.packbits(parity.reshape(n, bits), axis=1).view(np.int64).reshape(n, _SKETCH)
+        for k in range(_SKETCH):
             columns[f"s{k}"] = pa.array(np.ascontiguousarray(longs[:, k]), pa.int64())
         yield pa.RecordBatch.from_pydict(columns)
 
@@ -185,10 +189,11 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], words: int,
         lows = np.bincount(owner, (v & np.uint64(0xFFFFFFFF)).astype(float), n)
         highs = np.bincount(owner, (v >> np.uint64(32)).astype(float), n)
         f1 = mix(lows.astype(np.uint64) + (highs.astype(np.uint64) << np.uint64(32)))
-        found, owners = signatures(sets, at, similarity)
+        found, owners, upper = signatures(sets, at, similarity)
         yield pa.RecordBatch.from_arrays(
             [pa.array(found.view(np.int64), pa.int64()),
-             pa.array(f1[owners].view(np.int64), pa.int64())], ["sig", "f1"])
+             pa.array(f1[owners].view(np.int64), pa.int64()), pa.array(upper)],
+            ["sig", "f1", "upper"])
 
 
 def _limit(a, b, similarity: Fraction):
@@ -201,27 +206,27 @@ def _near(left: str, right: str, similarity: Fraction):
     """Whether sizes and sketches of two rows leave room for the similarity."""
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
     bits = sum((F.bit_count(F.col(f"{left}.s{k}").bitwiseXOR(F.col(f"{right}.s{k}")))
-                for k in range(1, 4)),
+                for k in range(1, _SKETCH)),
                F.bit_count(F.col(f"{left}.s0").bitwiseXOR(F.col(f"{right}.s0"))))
     p, q = similarity.numerator, similarity.denominator
     return (a * q >= b * p) & (b * q >= a * p) & (bits <= _limit(a, b, similarity)), bits
 
 
 def _shared_signatures(docs: DataFrame, words: int, similarity: Fraction) -> DataFrame:
-    """Signatures that different sets have, and the sets' fingerprints: sig, f1 (distinct).
+    """Signatures that different sets have, and the sets' fingerprints: sig, f1, upper (distinct).
 
     The one large shuffle of the job. A set's signatures are many and all different, so near
     copies that make up a third of all rows spread over as many keys; exact copies have one f1.
     """
     rows = docs.mapInArrow(lambda it: _signature_rows(it, words, similarity),
-                           "sig long, f1 long")
+                           "sig long, f1 long, upper boolean")
     by_sig = Window.partitionBy("sig")
     order = by_sig.orderBy("f1")
     seen = rows.withColumn("last", F.lag("f1").over(order)).where(
         F.col("last").isNull() | (F.col("last") != F.col("f1"))).drop("last")
     shared = seen.withColumn("most", F.max("f1").over(by_sig)).withColumn(
-        "lead", F.min("f1").over(by_sig)).where("lead <> most").drop("most")
-    return materialize(shared, "shared-signatures")
+        "least", F.min("f1").over(by_sig)).where("least <> most").drop("most", "least")
+    return written(shared, "shared-signatures")
 
 
 def _compare(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterator[pa.RecordBatch]:
@@ -264,7 +269,7 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: Fraction
     salted = pairs.join(sizes, "a").select(
         F.col("a").alias("lead"), F.col("b").alias("doc_id"), F.lit(False).alias("head"),
         F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / GROUP_ROWS)).cast("int").alias("salt"))
-    salted = materialize(salted, "pairs")
+    salted = written(salted, "pairs")
     heads = salted.select("lead", "salt").distinct().select(
         "lead", F.col("lead").alias("doc_id"), F.lit(True).alias("head"), "salt")
     wanted = salted.select("doc_id").union(heads.select("doc_id")).distinct()
@@ -273,10 +278,15 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: Fraction
     roles = salted.unionByName(heads).join(sets, "doc_id")
     grouped = roles.repartition(partitions(docs), "lead", "salt") \
         .sortWithinPartitions("lead", "salt", F.desc("head"), "doc_id")
-    return materialize(grouped.mapInArrow(lambda it: _compare(it, similarity), "a long, b long"),
+    return written(grouped.mapInArrow(lambda it: _compare(it, similarity), "a long, b long"),
                        "links")
 
 
+def _placed(firsts: DataFrame, joined: DataFrame) -> DataFrame:
+    return firsts.join(joined, firsts["rep"] == joined["node"], "left").select(
+        *firsts.columns, F.coalesce("component", "rep").alias("group"))
+
+
 def similarity_classes(docs: DataFrame, words: int = 4,
                        similarity: Fraction = Fraction(85, 100)) -> DataFrame:
     """One row per document: doc_id, n_shingles (size of its set of word n-grams), component_id
@@ -289,38 +299,44 @@ def similarity_classes(docs: DataFrame, words: int = 4,
     component, and links with nothing. Empty input gives no rows; other columns are ignored.
     """
     texts = documents(docs)
-    features = materialize(texts.mapInArrow(
+    features = written(texts.mapInArrow(
         lambda it: _features(it, words), "doc_id long, n long, f1 long, f2 long, " +
-        ", ".join(f"s{k} long" for k in range(4))), "features")
+        ", ".join(f"s{k} long" for k in range(_SKETCH))), "features")
     known = features.where("doc_id IS NOT NULL AND n > 0")
-    classes = materialize(known.groupBy("f1", "f2", "n").agg(
-        F.min("doc_id").alias("rep"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(4)]),
+    classes = written(known.groupBy("f1", "f2", "n").agg(
+        F.min("doc_id").alias("rep"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(_SKETCH)]),
         "classes")
     shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), words, similarity)
-    firsts = classes.select("f1", "rep", "n", *[f"s{k}" for k in range(4)])
+    sketch = [f"s{k}" for k in range(_SKETCH)]
+    firsts = classes.select("f1", "rep", "n", *sketch)
     near, bits = _near("x", "y", similarity)
 
-    # First round: each set and the most alike of the leaders of its signatures.
-    leads = shared.where("f1 <> lead").select("f1", "lead").distinct()
-    met = leads.join(firsts.alias("x"), "f1").select(
-        F.col("lead").alias("f1"), F.struct("rep", "n", *[f"s{k}" for k in range(4)]).alias("x"))
-    met = met.join(firsts.alias("y"), "f1").where(near).select(
-        F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits.alias("bits"))
-    best = met.groupBy("b").agg(F.min_by("a", F.struct("bits", "a")).alias("a"))
-    links = verified(best.select("a", "b"), texts, words, similarity)
-    joined = materialize(components(links), "components")
-
-    # Second round: pairs of a signature that the first left in different components.
-    placed = firsts.join(joined, firsts["rep"] == joined["node"], "left").select(
-        *firsts.columns, F.coalesce("component", "rep").alias("group"))
-    placed = materialize(placed, "placed")
-    rows = shared.select("sig", "f1").join(placed, "f1").drop("f1")
-    open_sigs = shared.select("sig", "f1").join(placed.select("f1", "group"), "f1").groupBy(
-        "sig").agg(F.min("group").alias("low"), F.max("group").alias("high")).where(
-        "low < high").select("sig")
-    open_rows = materialize(rows.join(open_sigs, "sig"), "open-signatures")
+    # Some rounds: in each signature, sets of another component than its leader's (another one in
+    # each round) may link to the leader; of a set's leaders, the two most alike are compared.
+    placed = written(firsts.withColumn("group", F.col("rep")), "placed")
+    links = None
+    for turn in range(ROUNDS):
+        lead = F.struct(F.xxhash64("f1", F.lit(turn)), "f1", "group")
+        rows = shared.select("sig", "f1").join(placed.select("f1", "group"), "f1")
+        leads = rows.withColumn("lead", F.min(lead).over(Window.partitionBy("sig"))).where(
+            "group <> lead.group").select("f1", F.col("lead.f1").alias("lead")).distinct()
+        met = leads.join(firsts.alias("x"), "f1").select(
+            F.col("lead").alias("f1"), F.struct("rep", "n", *sketch).alias("x"))
+        met = met.join(firsts.alias("y"), "f1").where(near).select(
+            F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits.alias("bits"))
+        alike = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a"))
+        best = written(met.withColumn("place", alike).where("place <= 2").select("a", "b"), "best")
+        found = verified(best, texts, words, similarity)
+        links = found if links is None else links.union(found)
+        placed = written(_placed(firsts, components(links)), "placed")
+
+    # All pairs of a signature that are still in different components and may be alike.
+    ends = shared.join(placed.select("f1", "group"), "f1").groupBy("sig").agg(
+        F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("sig")
+    open_rows = written(shared.join(ends, "sig").join(placed, "f1").drop("f1"), "open-signatures")
     pairs = open_rows.alias("x").join(open_rows.alias("y"), (
-        F.col("x.sig") == F.col("y.sig")) & (F.col("x.group") < F.col("y.group")) & near).select(
+        F.col("x.sig") == F.col("y.sig")) & (F.col("x.group") < F.col("y.group")) & near
+        & ~(F.col("x.upper") & F.col("y.upper"))).select(
         F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
     more = verified(pairs, texts, words, similarity)
     final = components(links.union(more))
