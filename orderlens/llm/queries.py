@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from orderlens.sources import new_work_path
 
-from . import mixing, packing, partenum, repeats, token_planes, topk
+from . import mixing, packing, partenum, repeats, token_planes, topk, toxicity
 
 
 def _vocabulary(name: str) -> str:
@@ -40,6 +40,14 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op3_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = toxicity.fit_labelled(docs, _read(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_read(spark, sf_dir, "documents"),
                                   _vocabulary("word_bpe_49k.json"), end_id=1)
@@ -61,7 +69,8 @@ def op10_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
-QUERIES = {"op1_suffix_array_dedup": op1_suffix_array_dedup,
+QUERIES = {"op3_string_kernel_toxicity": op3_string_kernel_toxicity,
+           "op1_suffix_array_dedup": op1_suffix_array_dedup,
            "op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
            "op4_best_fit_packing": op4_best_fit_packing, "op5_token_planes": op5_token_planes,
            "op9_partenum_join": op9_partenum_join}
