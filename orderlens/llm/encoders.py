@@ -23,7 +23,7 @@ class WordEncoder:
 
     Both public vocabularies split a text at a space between two words before they merge
     anything, so a text's ids are those of its words back to back. Each distinct word goes to
-    the library once and is remembered; ``keep`` bounds the memory, which then starts anew.
+    the library once and is remembered; beyond ``keep`` words the memory starts anew.
     Texts in which a space follows other white space are encoded whole.
     """
 
@@ -38,6 +38,7 @@ class WordEncoder:
         self.lower_case = "Lowercase" in json.dumps(described["normalizer"])
         self.keep, self.first, self.later = keep, {}, {}
         self.unmerged = {x.content for x in self.tokenizer.get_added_tokens_decoder().values()}
+        self.line_end = self._library(["\n"])[0]
         self.points = dict(zip([",", "."], self._library([",", "."])))
 
     def _library(self, texts: list[str]) -> list[bytes]:
@@ -51,9 +52,16 @@ class WordEncoder:
 
     def _learn(self, known: dict, words: set, before: str) -> None:
         new = [w for w in words if w not in known]
-        if len(known) + len(new) > self.keep:
-            known.clear()
-            new = list(words)
+        # Words with one line end between them: the words, and the line end's own ids.
+        lines = {w: w.split("\n") for w in new if "\n" in w}
+        lines = {w: p for w, p in lines.items() if all(p) and len(w.split()) == len(p)}
+        after = {p for parts in lines.values() for p in parts[1:]}
+        new = set(new).difference(lines)
+        new.update(p[0] for p in lines.values() if p[0] not in known)
+        if self.spaces_count and after:
+            self._learn(self.first, after, "")
+        else:
+            new.update(p for p in after if p not in known)
         # A comma or full stop after a Latin letter is split off by both vocabularies.
         pointed = [w for w in new if w[-1:] in self.points and _ends_in_letter(w[:-1])]
         ask = set(new).difference(pointed)
@@ -67,8 +75,14 @@ class WordEncoder:
         known.update(zip(ask, self._library([before + w for w in ask])))
         for w in pointed:
             known[w] = known[w[:-1]] + self.points[w[-1]]
+        next_line = self.first if self.spaces_count else known
+        for w, parts in lines.items():
+            known[w] = known[parts[0]] + b"".join(self.line_end + next_line[p] for p in parts[1:])
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if len(self.first) + len(self.later) > self.keep:
+            self.first.clear()
+            self.later.clear()
         whole = {}
         if self.spaces_count:
             whole = {i: None for i, t in enumerate(texts) if "  " in t or _LATE_SPACE.search(t)}
