@@ -10,14 +10,16 @@ from __future__ import annotations
 import functools
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrowtext import documents, slices
+from .arrowtext import documents, slices, utf8
 
 #: Fewer tokens say too little for a verdict.
 LEAST_TOKENS = 40
@@ -45,44 +47,49 @@ BANDS = {"latin": Band(1.25, 8.0, 0.10, 0.35), "greek": Band(0.7, 5.0, 0.20, 0.3
          "thai": Band(0.3, 4.0, 0.90, 0.20), "kana": Band(0.3, 4.0, 0.90, 0.25),
          "han": Band(0.3, 4.0, 0.90, 0.25), "hangul": Band(0.3, 4.0, 0.90, 0.25),
          "other": Band(0.2, 8.0, 1.00, 0.20)}
+NAMES = [*SCRIPTS, "other"]
 #: Rejected from this share of symbol characters on.
 MOST_SYMBOLS = 0.10
 
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
-_SYMBOLS = str.maketrans("", "", "#*$%&|<>")
+_IS_SYMBOL = np.isin(np.arange(256), list(b"#*$%&|<>"))
 _MEMORY = 400_000
 
 
 class Fertility:
     """Counts tokens of texts with a sentencepiece vocabulary, word by word from a bounded memory.
 
-    A word is encoded by itself, as the vocabulary's pieces begin at white space; its number of
-    tokens, of byte tokens, and its ids are remembered."""
+    A word is encoded by itself, as the vocabulary's pieces begin at white space; its ids are
+    remembered as 16-bit numbers."""
 
     def __init__(self, vocabulary: str):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
-        self.is_byte = {i for i in range(self.model.get_piece_size()) if self.model.is_byte(i)}
-        self.known: dict[str, tuple[int, ...]] = {}
+        size = self.model.get_piece_size()
+        self.kind = np.uint16 if size <= 1 << 16 else np.uint32
+        self.is_byte = np.array([self.model.is_byte(i) for i in range(size)])
+        self.known: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.known]
         if len(self.known) > _MEMORY:
             self.known.clear()
             new = list(words)
-        self.known.update(zip(new, map(tuple, self.model.encode(new, num_threads=1))))
+        ids = self.model.encode(new, num_threads=1)
+        code = "H" if self.kind is np.uint16 else "I"
+        self.known.update(zip(new, [array(code, x).tobytes() for x in ids]))
 
-    def of(self, words: Counter) -> tuple[int, int, float]:
+    def of(self, words: list[str]) -> tuple[int, int, float]:
         """Number of tokens, of byte tokens, and entropy of the tokens in bits."""
-        counts: Counter = Counter()
-        for word, n in words.items():
-            for token in self.known[word]:
-                counts[token] += n
-        total = sum(counts.values())
+        ids = np.frombuffer(b"".join(map(self.known.__getitem__, words)), self.kind)
+        total = len(ids)
         if not total:
             return 0, 0, 0.0
-        entropy = math.log2(total) - sum(n * math.log2(n) for n in counts.values()) / total
-        return total, sum(n for t, n in counts.items() if t in self.is_byte), entropy
+        ordered = np.sort(ids)
+        ends = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+        counts = np.diff(np.concatenate([[0], ends, [total]]))
+        entropy = math.log2(total) - float(counts @ np.log2(counts)) / total
+        return total, int(self.is_byte[ids].sum()), max(entropy, 0.0)
 
 
 @functools.lru_cache(maxsize=2)
@@ -90,17 +97,37 @@ def _fertility(vocabulary: str) -> Fertility:
     return Fertility(vocabulary)
 
 
-def script_of(text: str) -> str:
-    """The script of most letters among up to 2,000 evenly spread characters, which settles the
-    band only; "other" if there is none."""
-    if text.isascii():
-        return "latin" if re.search("[A-Za-z]", text) else "other"
-    counts: Counter = Counter()
-    for c in text[::max(len(text) // 2000, 1)]:
-        if c.isalpha():
-            counts[next((s for s, (low, high) in SCRIPTS.items() if low <= ord(c) <= high),
-                        "other")] += 1
-    return max(counts, key=counts.get, default="other")
+@functools.lru_cache(maxsize=1)
+def _script_table() -> np.ndarray:
+    """Script of each code point: its place in :data:`NAMES`; letters of no listed script count
+    as the last one, and what is no letter as one beyond."""
+    table = np.full(0x110000, len(NAMES), np.uint8)
+    for cp in range(0x110000):
+        if chr(cp).isalpha():
+            table[cp] = len(NAMES) - 1
+    for place, (low, high) in enumerate(SCRIPTS.values()):
+        part = table[low:high + 1]
+        part[part == len(NAMES) - 1] = place
+    return table
+
+
+def scripts_of(texts: list[str]) -> list[str]:
+    """The script of most letters of each text; "other" if it has none."""
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+    owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    counts = np.bincount(owner * (len(NAMES) + 1) + _script_table()[flat],
+                         minlength=len(texts) * (len(NAMES) + 1))
+    counts = counts.reshape(len(texts), -1)[:, :-1]
+    best = np.where(counts.any(axis=1), counts.argmax(axis=1), len(NAMES) - 1)
+    return [NAMES[k] for k in best.tolist()]
+
+
+def symbols_of(column: pa.Array) -> list[int]:
+    """Symbol characters of each text. All are single bytes of UTF-8."""
+    data, offsets = utf8(column)
+    sums = np.zeros(len(data) + 1, np.int64)
+    np.cumsum(_IS_SYMBOL[data], out=sums[1:])
+    return (sums[offsets[1:]] - sums[offsets[:-1]]).tolist()
 
 
 def repeated_words(words: list[str], size: int = 5) -> int:
@@ -137,13 +164,13 @@ def _measure(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.
         split = [_WORDS.findall(t) for t in texts]
         fertility.learn(set().union(*split))
         rows = []
-        for doc_id, text, words in zip(part.column("doc_id").to_pylist(), texts, split):
+        for doc_id, text, words, script, symbols in zip(
+                part.column("doc_id").to_pylist(), texts, split, scripts_of(texts),
+                symbols_of(part.column("text"))):
             n, chars = len(words), sum(map(len, words))
-            symbols = len(text) - len(text.translate(_SYMBOLS)) if text else 0
             again = repeated_words(words)
             failed = n < 10 or 100 * again > 20 * n
-            tokens, raw, entropy = fertility.of(Counter(words))
-            script = script_of(text)
+            tokens, raw, entropy = fertility.of(words)
             per_token, share = chars / max(tokens, 1), raw / max(tokens, 1)
             fits = tokens < LEAST_TOKENS or (
                 (b := BANDS[script]).low <= per_token <= b.high and share <= b.bytes
