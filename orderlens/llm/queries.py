@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlens.sources import new_work_path
 
-from . import (licences, mixing, packing, partenum, quality_rules, repeats, token_planes, topk,
-               toxicity)
+from . import (extraction, licences, mixing, packing, partenum, quality_rules, repeats,
+               token_planes, topk, toxicity)
 
 
 def _vocabulary(name: str) -> str:
@@ -65,6 +65,11 @@ def op6_positional_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_phrases(_read(spark, sf_dir, "documents")).drop("found")
 
 
+def op7_page_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = extraction.fit(_read(spark, sf_dir, "documents"))
+    return extraction.extracted_pages(_read(spark, sf_dir, "pages"), model)
+
+
 def op8_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(_read(spark, sf_dir, "documents"),
                                           _vocabulary("piece_bpe_32k.model"))
@@ -84,6 +89,7 @@ QUERIES = {"op3_string_kernel_toxicity": op3_string_kernel_toxicity,
            "op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
            "op4_best_fit_packing": op4_best_fit_packing, "op5_token_planes": op5_token_planes,
            "op6_positional_licences": op6_positional_licences,
+           "op7_page_marginals": op7_page_marginals,
            "op8_tokeniser_fertility": op8_tokeniser_fertility,
            "op9_partenum_join": op9_partenum_join}
 ORACLES: dict[str, str] = {"op10_segment_top_k": TOP_K,

@@ -216,7 +216,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
 
 
 def _keep_rest(batches: Iterator[pa.RecordBatch], characters: bool) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]
+    names = ["doc_id", "row", "n_bytes", "n_removed", "n_spans", "kept"]
     for part in slices(batches):
         data, offsets = utf8(part.column("text"))
         found = part.column("spans").to_pylist()
@@ -243,7 +243,7 @@ def _keep_rest(batches: Iterator[pa.RecordBatch], characters: bool) -> Iterator[
             spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
             kept.append(text[~gone].tobytes())
         yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()),
+            [part.column("doc_id"), part.column("row"), pa.array(np.diff(offsets)), pa.array(removed, pa.int64()),
              pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names)
 
 
@@ -279,8 +279,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Data
 
 def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM,
                    characters: bool = False) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept
-    (the remaining bytes of its UTF-8 text).
+    """One row per document: doc_id, row (a hash of its text), n_bytes, n_removed, n_spans
+    (maximal removed runs), kept (the remaining bytes of its UTF-8 text).
 
     Texts are compared as they are given, not as they are left. Null texts are empty; texts
     shorter than ``length`` stay as they are. Rows that share a doc_id count as one document: a
@@ -291,6 +291,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM,
     texts = documents(docs)
     spans = written(repeated_spans(texts, length, gram).groupBy(F.col("doc_id").alias("of")).agg(
         F.collect_list(F.struct("low", "high")).alias("spans")), "document-spans")
-    return texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left").mapInArrow(
+    return texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left").withColumn(
+        "row", F.xxhash64("text")).mapInArrow(
         lambda it: _keep_rest(it, characters),
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+        "doc_id long, row long, n_bytes long, n_removed long, n_spans long, kept binary")
