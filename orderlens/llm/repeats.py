@@ -79,8 +79,9 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int,
         owner, start, count, anchor, whole = surroundings(data, offsets, length, gram)
         yield pa.RecordBatch.from_arrays(
             [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)),
-             part.column("doc_id").take(pa.array(owner)), pa.array(start),
-             pa.array(count)], ["anchor", "whole", "doc_id", "start", "strings"])
+             part.column("doc_id").take(pa.array(owner)), part.column("row").take(pa.array(owner)),
+             pa.array(start), pa.array(count)],
+            ["anchor", "whole", "doc_id", "row", "start", "strings"])
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -182,13 +183,14 @@ def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
         high = at[np.append(np.flatnonzero(new)[1:], len(at)) - 1] if len(at) else at
         return pa.RecordBatch.from_arrays(
             [pa.array([rows[p][1] for p in piece[low]], pa.int64()),
+             pa.array([rows[p][4] for p in piece[low]], pa.int64()),
              pa.array(keys[low, 1]), pa.array(keys[high, 1] + length)],
-            ["doc_id", "low", "high"])
+            ["doc_id", "row", "low", "high"])
 
     waiting, held, anchor = [], 0, None
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in (
-                "anchor", "doc_id", "start", "piece"))):
+                "anchor", "doc_id", "start", "piece", "row"))):
             if held >= CHUNK_BYTES and row[0] != anchor:
                 yield spans(waiting)
                 waiting, held = [], 0
@@ -201,14 +203,15 @@ def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
 
 def _cut_out(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
-        out = {k: [] for k in ("anchor", "doc_id", "start", "piece")}
+        out = {k: [] for k in ("anchor", "doc_id", "row", "start", "piece")}
         data, offsets = utf8(part.column("text"))
-        for i, (doc_id, marks) in enumerate(zip(part.column("doc_id").to_pylist(),
-                                                part.column("marks").to_pylist())):
+        for i, (doc_id, row, marks) in enumerate(zip(*(
+                part.column(c).to_pylist() for c in ("doc_id", "row", "marks")))):
             for m in marks:
                 low = offsets[i] + m["start"]
                 out["anchor"].append(m["anchor"])
                 out["doc_id"].append(doc_id)
+                out["row"].append(row)
                 out["start"].append(m["start"])
                 out["piece"].append(data[low:low + m["strings"] - 1 + length].tobytes())
         yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
@@ -248,32 +251,37 @@ def _keep_rest(batches: Iterator[pa.RecordBatch], characters: bool) -> Iterator[
 
 
 def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFrame:
-    """Spans of bytes (doc_id, low, high) that strings of ``length`` bytes cover which also start
+    """Spans of bytes (doc_id, row, low, high) that strings of ``length`` bytes cover which also start
     earlier: in a smaller doc_id (null: smallest), or in the same one at a smaller start. Spans
-    may overlap. ``docs`` comes from :func:`documents`; its null texts are empty."""
+    may overlap. ``docs`` comes from :func:`documents`, with a hash ``row`` of the text that
+    tells apart rows of one doc_id."""
     anchors = docs.mapInArrow(
         lambda it: _anchor_rows(it, length, gram),
-        "anchor long, whole long, doc_id long, start long, strings long")
+        "anchor long, whole long, doc_id long, row long, start long, strings long")
     same = Window.partitionBy("anchor", "whole").orderBy("doc_id", "start")
     around = Window.partitionBy("anchor")
     marks = anchors.select("*", F.first("doc_id").over(same).alias("first_doc"),
                            F.first("start").over(same).alias("first_start"))
     marks = marks.select(
-        "anchor", "doc_id", "start", "strings",
+        "anchor", "doc_id", "row", "start", "strings",
         (F.col("first_doc").eqNullSafe(F.col("doc_id"))
          & (F.col("first_start") == F.col("start"))).alias("first"),
         (F.min("whole").over(around) != F.max("whole").over(around)).alias("varied"))
     marks = written(marks.where("NOT first OR varied"), "marks")
     again = marks.where("NOT first").select(
-        "doc_id", F.col("start").alias("low"),
+        "doc_id", "row", F.col("start").alias("low"),
         (F.col("start") + F.col("strings") + (length - 1)).alias("high"))
-    chosen = marks.where("first").distinct().groupBy(F.col("doc_id").alias("of")).agg(
+    chosen = marks.where("first").distinct().groupBy(
+        F.col("doc_id").alias("of"), F.col("row").alias("of_row")).agg(
         F.collect_list(F.struct("anchor", "start", "strings")).alias("marks"))
-    pieces = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("of"))).mapInArrow(
-        lambda it: _cut_out(it, length), "anchor long, doc_id long, start long, piece binary")
+    pieces = docs.join(chosen, F.col("doc_id").eqNullSafe(F.col("of")) & (
+        F.col("row") == F.col("of_row"))).mapInArrow(
+        lambda it: _cut_out(it, length),
+        "anchor long, doc_id long, row long, start long, piece binary")
     dealt = pieces.repartition(partitions(docs), "anchor").sortWithinPartitions("anchor")
     matched = written(dealt.mapInArrow(lambda it: _match(it, length),
-                                       "doc_id long, low long, high long"), "spans")
+                                       "doc_id long, row long, low long, high long"),
+                      "spans")
     return again.unionByName(matched)
 
 
@@ -288,10 +296,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, gram: int = GRAM,
     alone; equal rows get equal results. With ``characters``, only whole characters are removed.
     Empty input gives no rows; other columns are ignored.
     """
-    texts = documents(docs)
-    spans = written(repeated_spans(texts, length, gram).groupBy(F.col("doc_id").alias("of")).agg(
+    texts = documents(docs).withColumn("row", F.xxhash64("text"))
+    spans = written(repeated_spans(texts, length, gram).groupBy(
+        F.col("doc_id").alias("of"), F.col("row").alias("of_row")).agg(
         F.collect_list(F.struct("low", "high")).alias("spans")), "document-spans")
-    return texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of")), "left").withColumn(
-        "row", F.xxhash64("text")).mapInArrow(
+    return texts.join(spans, F.col("doc_id").eqNullSafe(F.col("of")) & (
+        F.col("row") == F.col("of_row")), "left").mapInArrow(
         lambda it: _keep_rest(it, characters),
         "doc_id long, row long, n_bytes long, n_removed long, n_spans long, kept binary")
