@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from orderlens.sources import new_work_path
 
-from . import (extraction, licences, mixing, packing, partenum, quality_rules, repeats,
-               token_planes, topk, toxicity)
+from . import (alignment, conversations, extraction, languages, licences, mixing, packing,
+               partenum, quality_rules, repeats, token_planes, topk, toxicity)
 
 
 def _vocabulary(name: str) -> str:
@@ -84,6 +84,24 @@ def op10_segment_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors, k=5)
 
 
+def op11_mixture_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = languages.predict_languages(docs, languages.fit_languages(docs))
+    return found.select("doc_id", languages.held_out(F.col("doc_id")).alias("held_out"),
+                        "lang_pred", "score", "languages")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_read(spark, sf_dir, "documents"),
+                                     _vocabulary("byte_bpe_50k.json"),
+                                     _vocabulary("piece_bpe_32k.model"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.conversation_rows(_read(spark, sf_dir, "conversations"))
+    return conversations.repair_conversations(conversations.damage(rows))
+
+
 QUERIES = {"op3_string_kernel_toxicity": op3_string_kernel_toxicity,
            "op1_suffix_array_dedup": op1_suffix_array_dedup,
            "op2_source_mixing": op2_source_mixing, "op10_segment_top_k": op10_segment_top_k,
@@ -91,6 +109,9 @@ QUERIES = {"op3_string_kernel_toxicity": op3_string_kernel_toxicity,
            "op6_positional_licences": op6_positional_licences,
            "op7_page_marginals": op7_page_marginals,
            "op8_tokeniser_fertility": op8_tokeniser_fertility,
-           "op9_partenum_join": op9_partenum_join}
+           "op9_partenum_join": op9_partenum_join,
+           "op11_mixture_languages": op11_mixture_languages,
+           "op12_token_alignment": op12_token_alignment,
+           "op13_conversation_repair": op13_conversation_repair}
 ORACLES: dict[str, str] = {"op10_segment_top_k": TOP_K,
                            "op6_positional_licences": licences.oracle()}
