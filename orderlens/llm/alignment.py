@@ -6,14 +6,15 @@ a shuffle on the full text; every distinct text is encoded and aligned once, its
 often as the text occurs, and what is measured on it goes back to all documents that hold it.
 
 Neither vocabulary has a token that crosses from a visible character to a following space or line
-end, so a text's tokens are those of its stretches between such places back to back. A task encodes
-and aligns each distinct stretch once and remembers it.
+end, or from a letter to a comma or full stop, so a text's tokens are those of its stretches between
+such places back to back. A worker encodes and aligns each distinct stretch once and remembers it.
 """
 
 from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -28,16 +29,18 @@ from pyspark.sql import functions as F
 from .arrowtext import slices
 from .tables import written
 
-#: Stretches a task remembers, bytes of them, and pairs it sums up before it hands them on.
-MEMORY, MEMORY_BYTES, PAIRS = 400_000, 32 << 20, 4_000_000
+#: Stretches a Python worker remembers (about 500 bytes each), the bytes of those, and pairs a task
+#: sums up before it hands them on.
+MEMORY, MEMORY_BYTES, PAIRS = 250_000, 16 << 20, 1_000_000
 #: Pair counts that are sent to all tasks at a time (12 bytes each).
 BLOCK_PAIRS = 4_000_000
 #: A text that more than this share of all rows has goes to its documents by broadcast: there are
 #: fewer than 1 / HOT such texts.
 HOT = 0.001
-# A place between a visible character and a space or line end. U+180E counts as white space in
-# some tables only.
-_PLACES = re.compile("(?<=[^\\s\\u180e])(?=[ \n])")
+# A place between a visible character and a space or line end (U+180E counts as white space in some
+# tables only), and one between a letter and a comma or full stop.
+_SPACES, _POINTS = "(?<=[^\\s\\u180e])(?=[ \n])", "(?<=[a-zß-öø-ÿ])(?=[.,])"
+_LEARN = 20_000  # stretches encoded at a time
 _SHIFT = 15     # of A ids in pair keys; B has fewer than 32,768 ids
 _ROW = "key binary, copies long, n_a long, n_b long, n_groups long, n_links long, " \
        "groups_sha256 string, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, " \
@@ -87,26 +90,40 @@ class Tokenizers:
                         else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         if len(self.bytes_a) > 1 << 16 or len(self.bytes_b) > 1 << _SHIFT:
             raise ValueError("vocabularies of up to 65,536 (A) and 32,768 (B) entries")
-        self.size_a = np.array([len(x) for x in self.bytes_a], np.int64)
-        self.size_b = np.array([len(x) for x in self.bytes_b], np.int64)
-        # The cut at spaces and line ends is sound for vocabularies like these only.
-        self.cut = "ByteLevel" in type(self.a.pre_tokenizer).__name__ and not any(
-            re.search("[^▁]▁|\n", p) for p in pieces)
+        self.sizes_a, self.sizes_b = list(map(len, self.bytes_a)), list(map(len, self.bytes_b))
+        self.size_a, self.size_b = np.array(self.sizes_a, np.int64), np.array(self.sizes_b, np.int64)
+        # The cuts are sound for vocabularies without a piece across them.
+        plain = [p for i, p in enumerate(pieces) if not self.b.is_byte(i)]
+        self.places = None
+        if "ByteLevel" in type(self.a.pre_tokenizer).__name__ and not any(
+                re.search("[^▁]▁|\n", p) for p in plain):
+            crossed = any(re.search("[a-zß-öø-ÿ][.,]", p) for p in plain)
+            self.places = re.compile(_SPACES if crossed else f"{_SPACES}|{_POINTS}")
 
     def stretches(self, text: str) -> list[str]:
-        return _PLACES.split(" " + text) if self.cut else [" " + text]
+        return self.places.split(" " + text) if self.places else [" " + text]
 
     def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of stretches that start with a space or a line end."""
+        """Ids of stretches as they are inside a text; the first of a text starts with a space."""
         a = [x.ids for x in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        # B puts a space before whatever it is given; before a line end that space is a token.
-        b = self.b.encode([s[1:] if s[0] == " " else s for s in stretches], num_threads=1)
-        return a, [ids if s[0] == " " else ids[1:] for s, ids in zip(stretches, b)]
-
-    def lossless(self, stretch: str, a: list[int], b: list[int]) -> bool:
-        raw = stretch.encode("utf-8", "replace")
-        return b"".join([self.bytes_a[i] for i in a]) == raw \
-            and b"".join([self.bytes_b[i] for i in b]) == raw
+        # B puts a space before whatever it is given. Where none is wanted, a line end goes between,
+        # which no piece holds: the space and the line end are tokens of their own then.
+        b = self.b.encode([s[1:] if s[0] == " " else "\n" + s for s in stretches], num_threads=1)
+        return a, [ids if s[0] == " " else ids[2:] for s, ids in zip(stretches, b)]
+
+    def lossless(self, stretches: list[str], a: list[list[int]], b: list[list[int]]) -> list[bool]:
+        """Whether the ids of each stretch give back its bytes."""
+        raw = [s.encode("utf-8", "replace") for s in stretches]
+        whole = b"".join(raw)
+        if b"".join([self.bytes_a[i] for ids in a for i in ids]) == whole \
+                and b"".join([self.bytes_b[i] for ids in b for i in ids]) == whole \
+                and all(map(self._same_size, raw, a, b)):
+            return [True] * len(raw)
+        return [b"".join([self.bytes_a[i] for i in x]) == r
+                and b"".join([self.bytes_b[i] for i in y]) == r for r, x, y in zip(raw, a, b)]
+
+    def _same_size(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        return sum([self.sizes_a[i] for i in a]) == len(raw) == sum([self.sizes_b[i] for i in b])
 
 
 def _byte_letters() -> dict[str, int]:
@@ -177,20 +194,23 @@ class Aligned:
     def learn(self, texts: list[list[str]]) -> None:
         if len(self.number) > MEMORY or self.bytes > MEMORY_BYTES:
             self.clear()
-        new = list({s for stretches in texts for s in stretches}.difference(self.number))
-        if not new:
-            return
+        new = list(set().union(*texts).difference(self.number))
+        for at in range(0, len(new), _LEARN):
+            self._add(new[at:at + _LEARN])
+
+    def _add(self, new: list[str]) -> None:
         a, b = self.tools.encode(new)
-        fine = [self.tools.lossless(s, x, y) for s, x, y in zip(new, a, b)]
-        a = [x if ok else [] for x, ok in zip(a, fine)]
-        b = [x if ok else [] for x, ok in zip(b, fine)]
-        n_a, n_b = np.array([len(x) for x in a], np.int64), np.array([len(x) for x in b], np.int64)
-        flat_a = np.fromiter((i for x in a for i in x), np.int64, int(n_a.sum()))
-        flat_b = np.fromiter((i for x in b for i in x), np.int64, int(n_b.sum()))
+        fine = self.tools.lossless(new, a, b)
+        if not all(fine):
+            a = [x if ok else [] for x, ok in zip(a, fine)]
+            b = [x if ok else [] for x, ok in zip(b, fine)]
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, len(new)) for x in (a, b))
+        flat_a, flat_b = (np.fromiter(itertools.chain.from_iterable(x), np.int64, int(n.sum()))
+                          for x, n in ((a, n_a), (b, n_b)))
         g = align(flat_a, n_a, self.tools.size_a, flat_b, n_b, self.tools.size_b)
         keys, per_group = links(flat_a, g.in_a, flat_b, g.in_b)
         owner = np.repeat(np.repeat(np.arange(len(new)), g.n_groups), per_group)
-        once = np.unique((owner << 32) + keys)
+        once = distinct((owner << 32) + keys)
         for name, values in (("a", n_a), ("b", n_b), ("groups", g.n_groups),
                              ("links", np.bincount(owner, minlength=len(new))),
                              ("pairs", np.bincount(once >> 32, minlength=len(new)))):
@@ -200,25 +220,45 @@ class Aligned:
         self.in_a.add(g.in_a)
         self.in_b.add(g.in_b)
         self.pairs.add(once & 0xFFFFFFFF)
-        ends_a, ends_b = np.cumsum(g.in_a).tolist(), np.cumsum(g.in_b).tolist()
-        text_a, text_b = list(map(str, flat_a.tolist())), list(map(str, flat_b.tolist()))
-        groups, i, j = [], 0, 0
-        for k, m in zip(ends_a, ends_b):
-            groups.append(",".join(text_a[i:k]) + "|" + ",".join(text_b[j:m]))
-            i, j = k, m
-        at = 0
-        for stretch, n, ok in zip(new, g.n_groups.tolist(), fine):
+        for stretch, form, ok in zip(new, written_groups(flat_a, flat_b, g), fine):
             self.number[stretch] = len(self.form)
-            self.form.append(";".join(groups[at:at + n]) if ok else None)
-            self.bytes += 16 * len(stretch) + 200
-            at += n
+            self.form.append(form if ok else None)
+            self.bytes += len(stretch)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.flatnonzero(np.diff(values, prepend=-1))]
+
+
+def written_groups(a: np.ndarray, b: np.ndarray, g: Groups) -> list[str]:
+    """``a1,a2|b1;a3|b2`` for each stretch."""
+    sizes = np.stack([g.in_a, g.in_b], axis=1).ravel()
+    ends = np.cumsum(sizes)
+    ids, mark = np.empty(len(a) + len(b), np.int64), np.zeros(len(a) + len(b), np.int64)
+    starts = ends - sizes
+    ids[_spread(starts[0::2], g.in_a)] = a
+    ids[_spread(starts[1::2], g.in_b)] = b
+    mark[ends[0::2] - 1] = 1
+    mark[ends[1::2] - 1] = 2
+    parts = [""] * (2 * len(ids))
+    parts[0::2] = map(str, ids.tolist())
+    parts[1::2] = map(",|;".__getitem__, mark.tolist())
+    at = np.concatenate([[0], ends[1::2]])[np.cumsum(g.n_groups)].tolist()
+    return ["".join(parts[2 * i:2 * j])[:-1] for i, j in zip([0, *at], at)]
+
+
+@functools.lru_cache(maxsize=2)
+def aligner(path_a: str, path_b: str) -> Aligned:
+    """One memory of stretches per Python worker."""
+    return Aligned(tokenizers(path_a, path_b))
 
 
 def _align_texts(batches: Iterator[pa.RecordBatch], path_a: str,
                  path_b: str) -> Iterator[pa.RecordBatch]:
     """One row per text, and rows of pair counts (pairs, counts; without a key)."""
-    tools = tokenizers(path_a, path_b)
-    known = Aligned(tools)
+    known = aligner(path_a, path_b)
+    tools = known.tools
     pending: list[tuple[np.ndarray, np.ndarray]] = []
     waiting = 0
 
@@ -242,16 +282,21 @@ def _align_texts(batches: Iterator[pa.RecordBatch], path_a: str,
         texts = part.column("text").to_pylist()
         cut = [tools.stretches(t) for t in texts]
         known.learn(cut)
-        for k, stretches in enumerate(cut):
-            # A stretch may lose bytes that its neighbour gains, so such texts are seen as one.
-            if len(stretches) > 1 and any(known.form[known.number[s]] is None for s in stretches):
-                cut[k] = [" " + texts[k]]
-        known.learn(cut)
-        forms = [[known.form[known.number[s]] for s in stretches] for stretches in cut]
-        numbers = [[known.number[s] for s in stretches] if f[0] is not None else []
-                   for stretches, f in zip(cut, forms)]
+        numbers = [list(map(known.number.__getitem__, stretches)) for stretches in cut]
+        forms = [list(map(known.form.__getitem__, x)) for x in numbers]
+        lost = [k for k, f in enumerate(forms) if None in f]
+        # A stretch may lose bytes that its neighbour gains, so such texts are seen as one.
+        again = [[" " + texts[k]] for k in lost]
+        if any(a != cut[k] for a, k in zip(again, lost)):
+            known.learn([*cut, *again])
+            numbers = [list(map(known.number.__getitem__, stretches)) for stretches in cut]
+        for k, whole in zip(lost, again):
+            numbers[k] = [known.number[whole[0]]] if whole[0] in known.number else numbers[k]
+            forms[k] = [known.form[i] for i in numbers[k]]
+            if None in forms[k]:
+                numbers[k], forms[k] = [], [None]
         sizes = np.array([len(x) for x in numbers], np.int64)
-        unit = np.fromiter((i for x in numbers for i in x), np.int64, int(sizes.sum()))
+        unit = np.fromiter(itertools.chain.from_iterable(numbers), np.int64, int(sizes.sum()))
         owner = np.repeat(np.arange(len(texts)), sizes)
         per_text, columns = {}, {}
         for name in ("a", "b", "groups", "links"):
@@ -267,11 +312,11 @@ def _align_texts(batches: Iterator[pa.RecordBatch], path_a: str,
             columns[name] = [values[i:j].tobytes() for i, j in zip(ends - per_text[size], ends)]
         # Each pair of a text counts once, as often as the text occurs.
         copies = part.column("copies").to_numpy(zero_copy_only=False)
-        seen = np.unique((owner << 32) + unit)
+        seen = distinct((owner << 32) + unit)
         n = known.sizes["pairs"]
         starts = (np.cumsum(n.data[:n.used]) - n.data[:n.used])[seen & 0xFFFFFFFF]
         own = n.data[seen & 0xFFFFFFFF]
-        pairs = np.unique((np.repeat(seen >> 32, own) << 32) + known.pairs.data[_spread(starts, own)])
+        pairs = distinct((np.repeat(seen >> 32, own) << 32) + known.pairs.data[_spread(starts, own)])
         pending.append((pairs & 0xFFFFFFFF, copies[pairs >> 32].astype(np.int64)))
         waiting += len(pairs)
         digests = ["" if f[0] is None else hashlib.sha256(";".join(f).encode()).hexdigest()
