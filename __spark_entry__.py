@@ -26,7 +26,7 @@ from orderlens.sources import (load_model, new_work_path, read_recommendations_c
 LLM = importlib.util.find_spec("orderlens.llm") is not None
 if LLM:
     from orderlens.llm import queries as llm_queries  # noqa: E402
-PIPELINE = importlib.util.find_spec("corpus_pipeline") is not None
+PIPELINE = LLM and importlib.util.find_spec("corpus_pipeline") is not None
 if PIPELINE:
     import corpus_pipeline  # noqa: E402
 
