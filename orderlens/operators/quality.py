@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
+from math import floor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -57,8 +58,8 @@ def winsorize(df: DataFrame, col: str, low: float = 0.05, high: float = 0.05) ->
     """``df`` + ``<col>_winsorized``: the lowest and highest shares of rows take the value of
     the nearest remaining row; and ``<col>_1k``, the raw column in thousands."""
     limits = order_statistics(narrow(df, [col]), [col], [
-        RankTarget("low", low, lambda n: F.floor(n * F.lit(low))),
-        RankTarget("high", 1 - high, lambda n: n - 1 - F.floor(n * F.lit(high)))])
+        RankTarget("low", lambda n: floor(n * low)),
+        RankTarget("high", lambda n: n - 1 - floor(n * high))])
     limit = limits.agg(F.struct(*[
         F.max(F.when(F.col("target") == t, F.col("value"))).alias(t) for t in ("low", "high")])
     ).scalar()

@@ -1,6 +1,7 @@
 """Properties of sampling, quantiles, neighbours, attributions and metrics."""
 
 import datetime as dt
+import math
 
 import numpy as np
 import pandas as pd
@@ -229,3 +230,43 @@ def test_top_k_breaks_ties_by_product(spark):
                purchased=[0] * 4, purchase_probability=[0.5, 0.5, 0.9, 0.5])
     got = recommend.top_k_per_customer(df, 3).orderBy("rank").collect()
     assert [r["product_id"] for r in got] == [3, 1, 2]
+
+
+@pytest.mark.parametrize("accuracy", [20, 10_000])
+def test_quantiles_of_ties_nans_and_extremes(spark, accuracy):
+    """Heavy ties, few distinct values, infinities, signed zeros, NaN last, empty columns."""
+    rng = np.random.default_rng(3)
+    data = {"tie": [7.0] * 4000 + list(range(1000)), "two": [0.0, 1.0] * 2500,
+            "far": [*(10.0 ** rng.uniform(-300, 300, 4997)), math.inf, -math.inf, 0.0],
+            "holes": [None if k % 3 else float(k) for k in range(5000)], "none": [None] * 5000}
+    rows = spark.createDataFrame(list(zip(*[[None if v is None else float(v) for v in c]
+                                            for c in data.values()])),
+                                 ", ".join(f"{c} double" for c in data)).repartition(4)
+    probs = [0.0, 0.05, 0.25, 0.5, 0.77, 1.0]
+    names = [f"q{i}" for i in range(len(probs))]
+    got = {r["column"]: [r[n] for n in names]
+           for r in quantile_table(rows, list(data), probs, names, accuracy).collect()}
+    assert set(got) == {"tie", "two", "far", "holes"}
+    for col in ("tie", "two", "holes"):
+        assert got[col] == list(pd.Series(data[col], dtype=float).quantile(probs))
+    values = sorted(data["far"])
+    assert got["far"][0] == -math.inf and got["far"][-1] == math.inf
+    assert values[int(0.25 * 4999)] <= got["far"][2] <= values[int(0.25 * 4999) + 1]
+
+
+def test_quantiles_use_no_window(spark, monkeypatch):
+    """Every pass is an aggregate to one row: nothing is sorted, ranked or shuffled by value."""
+    from orderlens.functions import quantiles
+    plans, run = [], quantiles._aggregates
+
+    def seen(df, wanted):
+        plans.append(df.agg(*[c.alias(f"a{i}") for i, c in enumerate(wanted)])
+                     ._jdf.queryExecution().executedPlan().toString())
+        return run(df, wanted)
+
+    monkeypatch.setattr(quantiles, "_aggregates", seen)
+    df = spark.range(20_000).selectExpr("cast(id * 7919 % 20000 as double) as x")
+    row = quantile_table(df, ["x"], [0.1, 0.9], ["a", "b"], 100).first()
+    assert (row["a"], row["b"]) == tuple(pd.Series(range(20_000)).quantile([0.1, 0.9]))
+    assert len(plans) > 3
+    assert not any(word in plan for plan in plans for word in ("Window", "Sort ", "hashpartitioning"))
