@@ -98,18 +98,22 @@ def _attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explain.shapley_values(_linear_score, lines, LINE_FEATURES, background, "line_id")
 
 
-_trained: dict[tuple[str, str], jobs.Trained] = {}
+_trained: dict[tuple[str, str, str], jobs.Trained | jobs.Recommender] = {}
 
 
-def _return_model(spark: SparkSession, sf_dir: str) -> jobs.Trained:
-    """The return model, trained once per session and data folder."""
-    at = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, name: str, train: Callable):
+    """What ``train`` returns, worked out once per session and data folder."""
+    at = (spark.sparkContext.applicationId, sf_dir, name)
     if at not in _trained:
-        _trained[at] = jobs.train_returns(_tables(spark, sf_dir),
-                                          jobs.ReturnConfig(max_iter=30, **RULE))
+        _trained[at] = train()
     return _trained[at]
 
 
+def _return_model(spark: SparkSession, sf_dir: str) -> jobs.Trained:
+    return _once(spark, sf_dir, "returns", lambda: jobs.train_returns(
+        _tables(spark, sf_dir), jobs.ReturnConfig(**RULE)))
+
+
 def _parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order dates as text, malformed for one order status."""
     raw = spark.read.parquet(f"{sf_dir.rstrip('/')}/orders.parquet")
@@ -197,15 +201,25 @@ def _explain_risky(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "line_id")
 
 
-def _reorder_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trained = jobs.train_reorder(_tables(spark, sf_dir), jobs.ReorderConfig(max_iter=20))
-    return trained.scored_test.select("order_id", "will_reorder_6m", "probability", "prediction")
+def _reorder_model(spark: SparkSession, sf_dir: str, variant: str = "smote") -> jobs.Trained:
+    return _once(spark, sf_dir, f"reorder-{variant}", lambda: jobs.train_reorder(
+        _tables(spark, sf_dir), jobs.ReorderConfig(variant=variant)))
+
+
+def _reorder_scores(spark: SparkSession, sf_dir: str, variant: str = "smote") -> DataFrame:
+    return _reorder_model(spark, sf_dir, variant).scored_test.select(
+        "order_id", "will_reorder_6m", "probability", "prediction")
+
+
+def _validation_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss curves of the networks, from the fits whose scores the other queries return."""
+    curves = {"return": _return_model(spark, sf_dir), "reorder": _reorder_model(spark, sf_dir)}
+    first, second = (t.curve.select(F.lit(n).alias("network"), "*") for n, t in curves.items())
+    return first.unionByName(second)
 
 
-def _recommend_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, top, _ = jobs.train_recommender(_tables(spark, sf_dir),
-                                       jobs.RecommendConfig(trees=3, depth=3))
-    return top
+def _recommender(spark: SparkSession, sf_dir: str) -> jobs.Recommender:
+    return _once(spark, sf_dir, "recommender", lambda: jobs.train_recommender(_tables(spark, sf_dir)))
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -291,7 +305,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "score_requests": _score_requests,
         "explain_risky": _explain_risky,
         "reorder_scores": _reorder_scores,
-        "recommend_scores": _recommend_scores,
+        "reorder_plain_scores": lambda s, d: _reorder_scores(s, d, "plain"),
+        "reorder_metrics": lambda s, d: _reorder_model(s, d).metrics,
+        "validation_curve": _validation_curve,
+        "recommend_scores": lambda s, d: _recommender(s, d).top,
+        "recommend_metrics": lambda s, d: _recommender(s, d).metrics,
     }
     if LLM:
         result |= llm_queries.QUERIES

@@ -32,23 +32,31 @@ def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFr
                                            F.lit(float(value)).alias("value"))
 
 
-def confusion_matrix(df: DataFrame, label: str = "label",
-                     prediction: str = "prediction") -> DataFrame:
+def _rows_where(condition: Column, weight: str | None) -> Column:
+    """How many rows a condition holds for; with ``weight``, how many they stand for."""
+    if weight is None:
+        return F.count_if(condition)
+    return F.round(F.sum(F.when(condition, F.col(weight)).otherwise(0.0))).cast("long")
+
+
+def confusion_matrix(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                     weight: str | None = None) -> DataFrame:
     """Rows per label and prediction, with 0 for a combination that does not occur."""
     cells = [(actual, said) for actual in (0, 1) for said in (0, 1)]
-    counts = df.agg(*[F.count_if((F.col(label) == a) & (F.col(prediction) == p)).alias(f"n{a}{p}")
-                      for a, p in cells])
+    counts = df.agg(*[_rows_where((F.col(label) == a) & (F.col(prediction) == p), weight)
+                      .alias(f"n{a}{p}") for a, p in cells])
     return counts.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("label"), F.lit(p).alias("prediction"), F.col(f"n{a}{p}").alias("n"))
         for a, p in cells])))
 
 
-def _confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
+def _confusion_counts(df: DataFrame, label: str, prediction: str,
+                      weight: str | None = None) -> DataFrame:
     actual, said = F.col(label), F.col(prediction)
-    return df.agg(F.count_if((actual == 1) & (said == 1)).alias("tp"),
-                  F.count_if((actual == 0) & (said == 1)).alias("fp"),
-                  F.count_if((actual == 1) & (said == 0)).alias("fn"),
-                  F.count_if((actual == 0) & (said == 0)).alias("tn"))
+    return df.agg(_rows_where((actual == 1) & (said == 1), weight).alias("tp"),
+                  _rows_where((actual == 0) & (said == 1), weight).alias("fp"),
+                  _rows_where((actual == 1) & (said == 0), weight).alias("fn"),
+                  _rows_where((actual == 0) & (said == 0), weight).alias("tn"))
 
 
 def _or_zero(numerator: Column, denominator: Column) -> Column:
@@ -56,15 +64,16 @@ def _or_zero(numerator: Column, denominator: Column) -> Column:
                       F.lit(0.0))
 
 
-def f1_score(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def f1_score(df: DataFrame, label: str = "label", prediction: str = "prediction",
+             weight: str | None = None) -> DataFrame:
     """F1 of class 1, 0 where it is undefined."""
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return _confusion_counts(df, label, prediction).select(
+    return _confusion_counts(df, label, prediction, weight).select(
         F.lit("f1").alias("metric"), _or_zero(2 * tp, 2 * tp + fp + fn).alias("value"))
 
 
-def classification_report(df: DataFrame, label: str = "label",
-                          prediction: str = "prediction") -> DataFrame:
+def classification_report(df: DataFrame, label: str = "label", prediction: str = "prediction",
+                          weight: str | None = None) -> DataFrame:
     """Precision, recall, F1 and support per class, and accuracy (in f1), macro and weighted
     averages; undefined ratios are 0."""
     tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
@@ -75,7 +84,7 @@ def classification_report(df: DataFrame, label: str = "label",
         columns[f"r{name}"] = _or_zero(hits, hits + misses)
         columns[f"f{name}"] = _or_zero(2 * hits, 2 * hits + alarms + misses)
         columns[f"s{name}"] = hits + misses
-    one_row = _confusion_counts(df, label, prediction).withColumns(columns).withColumn(
+    one_row = _confusion_counts(df, label, prediction, weight).withColumns(columns).withColumn(
         "total", F.col("s0") + F.col("s1"))
 
     def row(name: str, precision: Column, recall: Column, f1: Column, support: Column) -> Column:
@@ -98,16 +107,18 @@ def classification_report(df: DataFrame, label: str = "label",
         row("weighted avg", *[weighted(m) for m in "prf"], total))))
 
 
-def binary_metrics(scored: DataFrame, label: str, score: str = "probability") -> DataFrame:
+def binary_metrics(scored: DataFrame, label: str, score: str = "probability",
+                   weight: str | None = None) -> DataFrame:
     """metric, class, value rows of a scored test set: AUC, F1, the report, the confusion
-    counts."""
-    rows = [roc_auc(scored, label, score), f1_score(scored, label)]
+    counts. With ``weight`` each row counts as the rows it stands for (one weight per class, on
+    which the AUC does not depend)."""
+    rows = [roc_auc(scored, label, score), f1_score(scored, label, weight=weight)]
     singles = rows[0].unionByName(rows[1]).select("metric", F.lit("1").alias("class"), "value")
-    report = classification_report(scored, label)
+    report = classification_report(scored, label, weight=weight)
     per_class = report.select(F.col("class"), F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
         for m in ("precision", "recall", "f1", "support")])))
-    confusion = confusion_matrix(scored, label).select(
+    confusion = confusion_matrix(scored, label, weight=weight).select(
         F.lit("confusion").alias("metric"),
         F.concat_ws("->", "label", "prediction").alias("class"), F.col("n").cast("double").alias("value"))
     return singles.unionByName(per_class.where("value is not null and not (metric = 'f1' and class = '1')")

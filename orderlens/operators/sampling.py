@@ -63,6 +63,23 @@ def validation_split(df: DataFrame, label: str, key: str | Sequence[str], share:
     return held.withColumn("is_validation", F.col("_side") == "hold").drop("_side")
 
 
+def numbered(df: DataFrame, key: str | Sequence[str], seed: int = 42,
+             number: str = "number") -> DataFrame:
+    """``df`` + number: 0, 1, 2, ... in the order of a hash of the unique key.
+
+    Rows are counted per four-digit prefix of the hash; a row's number is the count before its
+    prefix plus its rank in it, so no task ranks more than a 65,536th of the rows.
+    """
+    drawn = df.withColumn("_draw", draw_hash(*_keys(key), seed=seed)).withColumn(
+        "_prefix", F.substring("_draw", 1, 4))
+    before = Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    starts = drawn.groupBy("_prefix").agg(F.count("*").alias("_rows")).select(
+        "_prefix", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy("_prefix").orderBy("_draw", *_keys(key)))
+    return (drawn.withColumn("_rank", rank).join(F.broadcast(starts), "_prefix")   # 65,536 rows
+            .select(*df.columns, (F.col("_start") + F.col("_rank") - 1).alias(number)))
+
+
 def scale_params(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Mean and population standard deviation per column; a constant column gets 1."""
     stats = df.agg(*[e for c in cols for e in (

@@ -27,6 +27,11 @@ class ReturnConfig:
     max_iter: int = 50
     seed: int = 42
     learner: str = "perceptron"
+    #: Share of the training side held out (real rows) to stop the network; 0 for none.
+    hold_out: float = 0.25
+    step: int = 5
+    patience: int = 2
+    min_delta: float = 0.001
     splits_path: str | None = None
 
 
@@ -43,6 +48,10 @@ class ReorderConfig:
     hidden: Sequence[int] = (64, 32)
     max_iter: int = 30
     seed: int = 42
+    hold_out: float = 0.2
+    step: int = 5
+    patience: int = 2
+    min_delta: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -56,23 +65,48 @@ class RecommendConfig:
     scale_before_split: bool = False
     early_stop: bool = False
     exclude_purchased: bool = False
+    #: Bound on the labelled pairs that the fit reads; the sample holds as many bought ones as
+    #: others if there are enough.
+    fit_pairs: int = 100_000
     seed: int = 42
 
 
 @dataclass(frozen=True)
 class Trained:
-    """A fitted model with its metric rows, its scored test set and its training rows."""
+    """A fitted model with its metric rows, its scored test set and its training rows; a network
+    also has the loss curve of its fit."""
     model: PipelineModel
     metrics: DataFrame
     scored_test: DataFrame
     train: DataFrame
     columns: list[str] = field(default_factory=list)
+    curve: DataFrame | None = None
 
 
 def _scaled_columns(cols: Sequence[str]) -> list[str]:
     return [f"{c}_scaled" for c in cols]
 
 
+def _network(stages: Sequence, cols: Sequence[str], cfg: ReturnConfig | ReorderConfig,
+             label: str, key: str, ready: DataFrame, ratio: float | None
+             ) -> tuple[PipelineModel, DataFrame]:
+    """A network fitted on scaled rows, oversampled to ``ratio`` unless it is None, with a part of
+    the rows held out before that; and its loss curve."""
+    scaled, spark = _scaled_columns(cols), ready.sparkSession
+    held = ready.limit(0)
+    if cfg.hold_out:
+        parts = materialize(validation_split(ready, label, key, cfg.hold_out), "network-parts")
+        held = parts.where("is_validation").drop("is_validation")
+        ready = parts.where(~F.col("is_validation")).drop("is_validation")
+    if ratio is not None:
+        ready = smote(ready, scaled, label, key, ratio, seed=cfg.seed)
+    ready = materialize(ready.select(label, *scaled), "network-train")
+    network = learners.perceptron(len(cols), cfg.hidden, label, cfg.max_iter, cfg.seed)
+    model, curve = learners.fitted_with_patience(
+        stages, cols, network, ready, held, label, cfg.step, cfg.patience, cfg.min_delta)
+    return model, curve.table(spark)
+
+
 def train_returns(tables: Tables, cfg: ReturnConfig = ReturnConfig()) -> Trained:
     """Split, scale on the training side, oversample it, fit, evaluate on untouched rows."""
     cols, label, key = returns.RETURN_FEATURES, "is_returned", "line_id"
@@ -83,13 +117,15 @@ def train_returns(tables: Tables, cfg: ReturnConfig = ReturnConfig()) -> Trained
     scaled = scaling.transform(rows).select(key, label, "split", *_scaled_columns(cols))
     if cfg.splits_path:
         write_splits(scaled, cfg.splits_path)
-    balanced = materialize(smote(scaled.where("split = 'train'"), _scaled_columns(cols), label,
-                                 key, cfg.smote_ratio, seed=cfg.seed), "return-train")
-    classifier = (learners.logistic(label, cfg.max_iter) if cfg.learner == "logistic" else
-                  learners.perceptron(len(cols), cfg.hidden, label, cfg.max_iter, cfg.seed))
-    model = learners.fitted([scaling], cols, classifier, balanced)
+    ready, curve = scaled.where("split = 'train'").drop("split"), None
+    if cfg.learner == "logistic":
+        balanced = materialize(smote(ready, _scaled_columns(cols), label, key, cfg.smote_ratio,
+                                     seed=cfg.seed), "return-train")
+        model = learners.fitted([scaling], cols, learners.logistic(label, cfg.max_iter), balanced)
+    else:
+        model, curve = _network([scaling], cols, cfg, label, key, ready, cfg.smote_ratio)
     scored = materialize(learners.score(model, test, cfg.threshold), "return-scores")
-    return Trained(model, binary_metrics(scored, label), scored, train, list(cols))
+    return Trained(model, binary_metrics(scored, label), scored, train, list(cols), curve)
 
 
 def score_returns(model: PipelineModel, requests: DataFrame, threshold: float = 0.3) -> DataFrame:
@@ -136,25 +172,39 @@ def train_reorder(tables: Tables, cfg: ReorderConfig = ReorderConfig()) -> Train
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     scaling = learners.scaling_stage(train, cols)
     ready = scaling.transform(train).select(key, label, *_scaled_columns(cols))
-    if cfg.variant == "smote" and not cfg.smote_before_split:
-        ready = smote(ready, _scaled_columns(cols), label, key, cfg.smote_ratio, seed=cfg.seed)
-    ready = materialize(ready, "reorder-train")
-    model = learners.fitted([scaling], cols, learners.perceptron(
-        len(cols), cfg.hidden, label, cfg.max_iter, cfg.seed), ready)
+    ratio = cfg.smote_ratio if cfg.variant == "smote" and not cfg.smote_before_split else None
+    model, curve = _network([scaling], cols, cfg, label, key, ready, ratio)
     scored = materialize(learners.score(model, test, cfg.threshold), "reorder-scores")
-    return Trained(model, binary_metrics(scored, label), scored, train, cols)
+    return Trained(model, binary_metrics(scored, label), scored, train, cols, curve)
+
+
+@dataclass(frozen=True)
+class Recommender:
+    """A fitted recommender: its best k products per customer with all feature columns, and its
+    metric rows."""
+    model: PipelineModel
+    top: DataFrame
+    metrics: DataFrame
 
 
 def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
-                      candidates: DataFrame | None = None
-                      ) -> tuple[PipelineModel, DataFrame, DataFrame]:
-    """Fit boosted trees on the customer x product rows, score all of them, keep the best k
-    per customer. Returns the model, the recommendations and the metric rows."""
+                      candidates: DataFrame | None = None) -> Recommender:
+    """Fit boosted trees on a bounded sample of labelled pairs, score every customer with every
+    product (or the ``candidates``), and keep the best k per customer.
+
+    The fit sees at most about ``cfg.fit_pairs`` pairs, drawn before any grid is built; metrics
+    come from the held-out part of the sample, each pair weighted by the pairs it stands for, and
+    precision@k from the recommendations of all customers. Scored pairs stream from the grid
+    through the model to the ranking; no table of the grid's size is written.
+    """
     cols, label, key = recommend.RECOMMEND_FEATURES, "purchased", "pair_id"
     ids = ["customer_id", "product_id"]
     known = recommend.summarize(tables)
-    features = materialize(recommend.recommend_features(tables, candidates, known).select(
-        *ids, F.concat_ws("|", *ids).alias(key), label, *cols), "recommend-features")
+    sample = materialize(recommend.sample_pairs(tables, cfg.fit_pairs, cfg.seed, known),
+                         "recommend-pairs")
+    features = recommend.recommend_features(tables, sample, known).join(
+        sample.select(*ids, "weight"), ids).select(
+        *ids, F.concat_ws("|", *ids).alias(key), label, F.col("weight").alias("stands_for"), *cols)
     rows = materialize(stratified_split(features, label, key, seed=cfg.seed), "recommend-rows")
     train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
     scaling = learners.scaling_stage(rows if cfg.scale_before_split else train, cols)
@@ -179,17 +229,21 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
         label, cfg.trees, cfg.rate, cfg.depth, weight, validation, cfg.seed), ready)
 
     probability = "purchase_probability"
-    scored = materialize(learners.probability_of(model, rows, probability).select(
-        *ids, label, "split", probability), "recommend-scores")
-    top = recommend.recommend_top(scored, tables, cfg.k, probability, cfg.exclude_purchased, known)
-    tested = scored.where("split = 'test'").select(
-        label, probability, F.when(F.col(probability) > 0.5, 1).otherwise(0).alias("prediction"))
-    precision = recommend.precision_at_k(
-        scored.where("purchased = 0") if cfg.exclude_purchased else scored, cfg.k)
-    metrics = binary_metrics(tested, label, probability).unionByName(precision.select(
+    tested = learners.probability_of(model, test, probability).select(
+        label, "stands_for", probability,
+        F.when(F.col(probability) > 0.5, 1).otherwise(0).alias("prediction"))
+    pairs = recommend.recommend_features(tables, candidates, known)
+    scored = learners.probability_of(model, pairs.select(*ids, label, *cols), probability)
+    best = materialize(recommend.top_of_stream(scored, cfg.k, probability, cfg.exclude_purchased),
+                       "recommend-top")
+    precision = recommend.precision_at_k(best, cfg.k)
+    top = recommend.recommend_features(tables, best, known).join(
+        best.select(*ids, probability, "rank"), ids)
+    metrics = binary_metrics(materialize(tested, "recommend-tested"), label, probability,
+                             "stands_for").unionByName(precision.select(
         F.lit(f"precision@{cfg.k}").alias("metric"), F.lit("1").alias("class"),
         F.col("precision").alias("value")))
-    return model, top, metrics
+    return Recommender(model, top, metrics)
 
 
 def eda_report(lines: DataFrame) -> dict[str, DataFrame]:
