@@ -156,26 +156,48 @@ def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
     return np.concatenate(found), np.concatenate(owners), np.concatenate(upper)
 
 
-def _features(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """Per document: size of its set, a fingerprint of it, and a sketch: 512 bits, each the parity
-    of the elements that fall on it, so two sketches differ in no more bits than their sets."""
+def _fingerprint(sets: np.ndarray, owner: np.ndarray, n: int, salt: int = 0x1234567) -> np.ndarray:
+    """A 64-bit number of each set that depends on all of its elements and nothing else."""
+    v = mix(sets ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64))
+    lows = np.bincount(owner, (v & np.uint64(0xFFFFFFFF)).astype(float), n)
+    highs = np.bincount(owner, (v >> np.uint64(32)).astype(float), n)
+    return mix(lows.astype(np.uint64) + (highs.astype(np.uint64) << np.uint64(32))).view(np.int64)
+
+
+def long_sketches(sets: np.ndarray, at: np.ndarray, similarity: Fraction) -> list[bytes]:
+    """Parities of the elements that fall on each bit, with at least four bits for every
+    difference that a similar set may have. Twice the bits, folded, are half the bits' sketch."""
+    p, q = similarity.numerator, similarity.denominator
+    sizes = np.diff(at)
+    wanted = np.maximum(4 * (2 * (q - p) * sizes // (q + p)), 64 * _SKETCH)
+    bits = np.int64(1) << np.ceil(np.log2(wanted)).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    place = (mix(sets + np.uint64(99)) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)
+    odd = (np.bincount(first[owner] + place, minlength=int(first[-1])) & 1).astype(np.uint8)
+    packed, cut = np.packbits(odd).tobytes(), (first // 8).tolist()
+    return [packed[i:j] for i, j in zip(cut[:-1], cut[1:])]
+
+
+def _features(batches: Iterator[pa.RecordBatch], words: int,
+              similarity: Fraction) -> Iterator[pa.RecordBatch]:
+    """Per document: size of its set, a fingerprint of it, and sketches: bits that are the parity
+    of the elements that fall on them, so two sketches differ in no more bits than their sets. The
+    short ones (512 bits) are compared in joins, the long ones before sets are."""
     for part in slices(batches):
         sets, at = shingle_sets(part.column("text"), words)
         n = len(at) - 1
         owner = np.repeat(np.arange(n), np.diff(at))
         columns = {"doc_id": part.column("doc_id"), "n": pa.array(np.diff(at), pa.int64())}
         for name, salt in (("f1", 0x1234567), ("f2", 0x89ABCDEF)):
-            v = mix(sets ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64))
-            lows = np.bincount(owner, (v & np.uint64(0xFFFFFFFF)).astype(float), n)
-            highs = np.bincount(owner, (v >> np.uint64(32)).astype(float), n)
-            total = lows.astype(np.uint64) + (highs.astype(np.uint64) << np.uint64(32))
-            columns[name] = pa.array(mix(total).view(np.int64), pa.int64())
+            columns[name] = pa.array(_fingerprint(sets, owner, n, salt), pa.int64())
         bits = 64 * _SKETCH
         bit = (mix(sets + np.uint64(99)) % np.uint64(bits)).astype(np.int64)
         parity = (np.bincount(owner * bits + bit, minlength=n * bits) & 1).astype(np.uint8)
         longs = np.packbits(parity.reshape(n, bits), axis=1).view(np.int64).reshape(n, _SKETCH)
         for k in range(_SKETCH):
             columns[f"s{k}"] = pa.array(np.ascontiguousarray(longs[:, k]), pa.int64())
+        columns["sketch"] = pa.array(long_sketches(sets, at, similarity), pa.binary())
         yield pa.RecordBatch.from_pydict(columns)
 
 
@@ -185,15 +207,11 @@ def _signature_rows(batches: Iterator[pa.RecordBatch], words: int,
         sets, at = shingle_sets(part.column("text"), words)
         n = len(at) - 1
         owner = np.repeat(np.arange(n), np.diff(at))
-        v = mix(sets ^ np.uint64(0x1234567 * 0x9E3779B97F4A7C15 % 2**64))
-        lows = np.bincount(owner, (v & np.uint64(0xFFFFFFFF)).astype(float), n)
-        highs = np.bincount(owner, (v >> np.uint64(32)).astype(float), n)
-        f1 = mix(lows.astype(np.uint64) + (highs.astype(np.uint64) << np.uint64(32)))
+        f1 = _fingerprint(sets, owner, n)
         found, owners, upper = signatures(sets, at, similarity)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found.view(np.int64), pa.int64()),
-             pa.array(f1[owners].view(np.int64), pa.int64()), pa.array(upper)],
-            ["sig", "f1", "upper"])
+            [pa.array(found.view(np.int64), pa.int64()), pa.array(f1[owners], pa.int64()),
+             pa.array(upper)], ["sig", "f1", "upper"])
 
 
 def _limit(a, b, similarity: Fraction):
@@ -235,8 +253,8 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterato
     group = leader = lead_id = None
     for batch in batches:
         a, b = [], []
-        for lead, salt, doc_id, head, raw in zip(*(batch.column(c).to_pylist() for c in (
-                "lead", "salt", "doc_id", "head", "elements"))):
+        for lead, salt, member, head, raw in zip(*(batch.column(c).to_pylist() for c in (
+                "lead", "salt", "f1", "head", "elements"))):
             elements = np.frombuffer(raw, np.uint64)
             if group != (lead, salt):
                 group, leader, lead_id = (lead, salt), None, lead
@@ -246,7 +264,7 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterato
             common = len(np.intersect1d(leader, elements, assume_unique=True))
             if q * common >= p * (len(leader) + len(elements) - common):
                 a.append(lead_id)
-                b.append(doc_id)
+                b.append(member)
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                          ["a", "b"])
 
@@ -254,37 +272,71 @@ def _compare(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterato
 def _elements(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         sets, at = shingle_sets(part.column("text"), words)
+        n = len(at) - 1
+        f1 = _fingerprint(sets, np.repeat(np.arange(n), np.diff(at)), n)
         raw = [sets[i:j].tobytes() for i, j in zip(at[:-1], at[1:])]
-        yield pa.RecordBatch.from_arrays(
-            [part.column("doc_id"), pa.array(raw, pa.binary())], ["doc_id", "elements"])
+        yield pa.RecordBatch.from_arrays([pa.array(f1, pa.int64()), pa.array(raw, pa.binary())],
+                                         ["f1", "elements"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, similarity: Fraction) -> DataFrame:
-    """Those of the pairs (a, b) of documents whose sets are similar.
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """Bits in which two long sketches differ; the longer one is folded to the shorter's length."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
 
-    Pairs are grouped by a; groups are dealt out in slices of about :data:`GROUP_ROWS`, so a task
-    holds one leader's set and the row at hand however large a group is.
+
+def _alike(batches: Iterator[pa.RecordBatch], similarity: Fraction) -> Iterator[pa.RecordBatch]:
+    """Pairs whose long sketches leave room for the similarity."""
+    p, q = similarity.numerator, similarity.denominator
+    for batch in batches:
+        keep = [sketch_distance(x, y) * (q + p) <= (m + n) * (q - p) for m, n, x, y in zip(
+            *(batch.column(c).to_pylist() for c in ("n_a", "n_b", "sketch_a", "sketch_b")))]
+        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
+             similarity: Fraction) -> DataFrame:
+    """Those of the pairs (a, b) of classes (by fingerprint) whose sets are similar.
+
+    Long sketches come first: they are a fiftieth of the sets and drop nearly all pairs that are
+    not similar. The rest are grouped by a; groups are dealt out in slices of about
+    :data:`GROUP_ROWS`, so a task holds one leader's set and the row at hand however large a group
+    is. A class's set is made from one text that has it.
     """
-    sizes = pairs.groupBy("a").agg(F.count("*").alias("members"))
-    salted = pairs.join(sizes, "a").select(
-        F.col("a").alias("lead"), F.col("b").alias("doc_id"), F.lit(False).alias("head"),
-        F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / GROUP_ROWS)).cast("int").alias("salt"))
-    salted = written(salted, "pairs")
+    def side(name):
+        return classes.select(F.col("f1").alias(name), F.col("n").alias(f"n_{name}"),
+                              F.col("sketch").alias(f"sketch_{name}"))
+
+    hopeful = written(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(
+        lambda it: _alike(it, similarity), "a long, b long"), "hopeful-pairs")
+    sizes = hopeful.groupBy("a").agg(F.count("*").alias("members"))
+    salted = written(hopeful.join(sizes, "a").select(
+        F.col("a").alias("lead"), F.col("b").alias("f1"), F.lit(False).alias("head"),
+        F.pmod(F.xxhash64("b"), F.ceil(F.col("members") / GROUP_ROWS)).cast("int").alias("salt")),
+        "pairs")
     heads = salted.select("lead", "salt").distinct().select(
-        "lead", F.col("lead").alias("doc_id"), F.lit(True).alias("head"), "salt")
-    wanted = salted.select("doc_id").union(heads.select("doc_id")).distinct()
-    sets = docs.join(wanted, "doc_id").mapInArrow(lambda it: _elements(it, words),
-                                                  "doc_id long, elements binary")
-    roles = salted.unionByName(heads).join(sets, "doc_id")
+        "lead", F.col("lead").alias("f1"), F.lit(True).alias("head"), "salt")
+    wanted = salted.select("f1").union(heads.select("f1")).distinct().join(
+        classes.select("f1", F.col("rep").alias("doc_id")), "f1")
+    # Rows that share a doc_id may have other sets than the one that is wanted.
+    held = docs.join(wanted.select("doc_id").distinct(), "doc_id").mapInArrow(
+        lambda it: _elements(it, words), "f1 long, elements binary")
+    sets = held.join(wanted.select("f1"), "f1", "left_semi").groupBy("f1").agg(
+        F.first("elements").alias("elements"))
+    roles = salted.unionByName(heads).join(sets, "f1")
     grouped = roles.repartition(partitions(docs), "lead", "salt") \
-        .sortWithinPartitions("lead", "salt", F.desc("head"), "doc_id")
+        .sortWithinPartitions("lead", "salt", F.desc("head"), "f1")
     return written(grouped.mapInArrow(lambda it: _compare(it, similarity), "a long, b long"),
-                       "links")
+                   "links")
 
 
 def _placed(firsts: DataFrame, joined: DataFrame) -> DataFrame:
-    return firsts.join(joined, firsts["rep"] == joined["node"], "left").select(
-        *firsts.columns, F.coalesce("component", "rep").alias("group"))
+    return firsts.join(joined, firsts["f1"] == joined["node"], "left").select(
+        *[firsts[c] for c in firsts.columns], F.coalesce("component", "f1").alias("group"))
 
 
 def similarity_classes(docs: DataFrame, words: int = 4,
@@ -300,53 +352,59 @@ def similarity_classes(docs: DataFrame, words: int = 4,
     """
     texts = documents(docs)
     features = written(texts.mapInArrow(
-        lambda it: _features(it, words), "doc_id long, n long, f1 long, f2 long, " +
-        ", ".join(f"s{k} long" for k in range(_SKETCH))), "features")
+        lambda it: _features(it, words, similarity), "doc_id long, n long, f1 long, f2 long, " +
+        ", ".join(f"s{k} long" for k in range(_SKETCH)) + ", sketch binary"), "features")
     known = features.where("doc_id IS NOT NULL AND n > 0")
-    classes = written(known.groupBy("f1", "f2", "n").agg(
-        F.min("doc_id").alias("rep"), *[F.first(f"s{k}").alias(f"s{k}") for k in range(_SKETCH)]),
+    sketch = [f"s{k}" for k in range(_SKETCH)]
+    # A class is a set; its fingerprint stands for it.
+    classes = written(known.groupBy("f1").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", *sketch, "sketch")]),
         "classes")
+    # Rows that share a doc_id are one node, so their classes belong together.
+    ids = known.select("doc_id", "f1")
+    several = ids.groupBy("doc_id").agg(F.min("f1").alias("b"), F.max("f1").alias("most")).where(
+        "b <> most")
+    one_node = written(ids.join(several, "doc_id").select(F.col("f1").alias("a"), "b").where(
+        "a <> b").distinct(), "shared-ids")
     shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), words, similarity)
-    sketch = [f"s{k}" for k in range(_SKETCH)]
-    firsts = classes.select("f1", "rep", "n", *sketch)
+    firsts = classes.select("f1", "n", *sketch)
     near, bits = _near("x", "y", similarity)
 
     # Some rounds: in each signature, sets of another component than its leader's (another one in
     # each round) may link to the leader; of a set's leaders, the two most alike are compared.
-    placed = written(firsts.withColumn("group", F.col("rep")), "placed")
-    links = None
+    placed = written(firsts.withColumn("group", F.col("f1")), "placed")
+    links = one_node
     for turn in range(ROUNDS):
         lead = F.struct(F.xxhash64("f1", F.lit(turn)), "f1", "group")
         rows = shared.select("sig", "f1").join(placed.select("f1", "group"), "f1")
         leads = rows.withColumn("lead", F.min(lead).over(Window.partitionBy("sig"))).where(
             "group <> lead.group").select("f1", F.col("lead.f1").alias("lead")).distinct()
         met = leads.join(firsts.alias("x"), "f1").select(
-            F.col("lead").alias("f1"), F.struct("rep", "n", *sketch).alias("x"))
+            F.col("lead").alias("f1"), F.struct(F.col("x.f1").alias("f1"), "n", *sketch).alias("x"))
         met = met.join(firsts.alias("y"), "f1").where(near).select(
-            F.col("y.rep").alias("a"), F.col("x.rep").alias("b"), bits.alias("bits"))
+            F.col("y.f1").alias("a"), F.col("x.f1").alias("b"), bits.alias("bits"))
         alike = F.row_number().over(Window.partitionBy("b").orderBy("bits", "a"))
         best = written(met.withColumn("place", alike).where("place <= 2").select("a", "b"), "best")
-        found = verified(best, texts, words, similarity)
-        links = found if links is None else links.union(found)
+        links = links.union(verified(best, classes, texts, words, similarity))
         placed = written(_placed(firsts, components(links)), "placed")
 
     # All pairs of a signature that are still in different components and may be alike.
     ends = shared.join(placed.select("f1", "group"), "f1").groupBy("sig").agg(
         F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("sig")
-    open_rows = written(shared.join(ends, "sig").join(placed, "f1").drop("f1"), "open-signatures")
+    open_rows = written(shared.join(ends, "sig").join(placed, "f1"), "open-signatures")
     pairs = open_rows.alias("x").join(open_rows.alias("y"), (
         F.col("x.sig") == F.col("y.sig")) & (F.col("x.group") < F.col("y.group")) & near
         & ~(F.col("x.upper") & F.col("y.upper"))).select(
-        F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    more = verified(pairs, texts, words, similarity)
+        F.least("x.f1", "y.f1").alias("a"), F.greatest("x.f1", "y.f1").alias("b")).distinct()
+    more = verified(pairs, classes, texts, words, similarity)
     final = components(links.union(more))
 
-    named = classes.select("f1", "f2", "n", "rep").join(
-        final, F.col("rep") == F.col("node"), "left").select(
-        "f1", "f2", "n", F.coalesce("component", "rep").alias("component_id"))
-    # A class's smallest doc_id is its node, so the smallest node of a component is the smallest
-    # doc_id it holds.
-    linked = known.join(named, ["f1", "f2", "n"]).select(
+    grouped = written(classes.select("f1", "rep").join(
+        final, F.col("f1") == F.col("node"), "left").select(
+        "f1", "rep", F.coalesce("component", "f1").alias("group")), "groups")
+    smallest = grouped.groupBy("group").agg(F.min("rep").alias("component_id"))
+    named = grouped.select("f1", "group").join(smallest, "group").select("f1", "component_id")
+    linked = known.select("doc_id", "n", "f1").join(named, "f1").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id")
     alone = features.where("doc_id IS NULL OR n = 0").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))

@@ -286,7 +286,7 @@ def test_quality_of_junk(spark):
 @pytest.mark.parametrize("words, similarity", [(4, Fraction(85, 100)), (5, Fraction(8, 10))])
 def test_similarity_classes(spark, empty, words, similarity):
     rng = random.Random(9)
-    rows = [r for r in texts() if r[0] != 110 and r[0] != 111]
+    rows = texts()
     for g in range(12):
         parts = sentence(rng, rng.randint(10, 150)).split()
         for k in range(6):
@@ -294,31 +294,52 @@ def test_similarity_classes(spark, empty, words, similarity):
             for _ in range(rng.randint(0, 2)):
                 changed[rng.randrange(len(changed))] = rng.choice(WORDS)
             rows.append((1000 + 10 * g + k, " ".join(changed)))
-    sets = {}
-    for i, text in rows:
+    # A near copy of a long text, and ids that several rows share, with other texts or none.
+    long = [t for i, t in rows if i == 110][0].split()
+    rows += [(2000, " ".join(long[:4000] + ["word0"] * 40 + long[4000:])), (2001, " ".join(long[3000:]))]
+    for k in range(40):
+        base = sentence(rng, 90)
+        rows += [(3000 + k % 13, base), (4000 + k, base + " tail"), (3000 + k % 7, None)]
+    sets = []
+    for _, text in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda c: c.group().lower(),
                                                      text or ""))
-        sets[i] = {tuple(w[k:k + words]) for k in range(max(len(w) - words + 1, 1))} if w else set()
-    parent = {i: i for i in sets if i is not None}
+        sets.append({tuple(w[k:k + words]) for k in range(max(len(w) - words + 1, 1))}
+                    if w else set())
+    parent = {i: i for i, _ in rows if i is not None}
 
     def top(x):
         while parent[x] != x:
             x = parent[x]
         return x
 
-    ids = sorted(parent)
-    for a in ids:
-        for b in ids:
-            if a < b and sets[a] and sets[b]:
-                if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]):
-                    x, y = sorted((top(a), top(b)))
-                    parent[y] = x
+    full = [(i, s) for (i, _), s in zip(rows, sets) if i is not None and s]
+    for k, (a, x) in enumerate(full):
+        for b, y in full[:k]:
+            if similarity * max(len(x), len(y)) <= min(len(x), len(y)) \
+                    and len(x & y) >= similarity * len(x | y):
+                low, high = sorted((top(a), top(b)))
+                parent[high] = low
     got = partenum.similarity_classes(frame(spark, rows), words, similarity).collect()
-    known = {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in got
-             if r["doc_id"] is not None}
-    assert known == {(i, len(sets[i]), top(i)) for i in ids}
-    assert len(got) == len(rows)
-    assert partenum.similarity_classes(empty, words, similarity).count() == 0
+    want = [(i, len(s), None if i is None else top(i) if s else i) for (i, _), s in zip(rows, sets)]
+    assert ordered(tuple(r)[:2] + (r["component_id"],) for r in got) == ordered(want)
+    assert top(2000) == top(110) and partenum.similarity_classes(
+        empty, words, similarity).count() == 0
+
+
+def test_sketches_never_reject_similar_sets():
+    """Folded sketches of sets of neighbouring sizes differ in no more bits than the sets."""
+    rng = np.random.default_rng(8)
+    for n in (3, 40, 130, 700, 5000):
+        for similarity in (Fraction(8, 10), Fraction(85, 100)):
+            a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[len(a) // 12:], rng.integers(0, 2**63, n // 14 + 1,
+                                                                         dtype=np.uint64)]))
+            x, y = partenum.long_sketches(np.concatenate([a, b]),
+                                          np.array([0, len(a), len(a) + len(b)]), similarity)
+            apart = len(np.setxor1d(a, b))
+            assert partenum.sketch_distance(x, y) <= apart
+            assert partenum.sketch_distance(x, y) >= 0.7 * apart - 3
 
 
 def test_top_k(spark):
