@@ -179,19 +179,20 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES, seed: int =
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, most=MOST_COPIES,
                     seed: int = 7) -> DataFrame:
     """The rows of the mix: each document as often as it is taken, with all its columns."""
-    names = docs.columns
-    text = F.col("text").cast("string")
     copies = mix_sources(docs, weights, most, seed).where("copies > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("source").alias("_source"),
-        "copies")
-    same = Window.partitionBy("_id", "_row", "_source").orderBy("copies")
-    copies = copies.withColumn("_n", F.row_number().over(same))
-    keyed = docs.withColumns({
-        "_id": F.col("doc_id").cast("long"), "_row": F.xxhash64(text),
-        "_source": F.col("source").cast("string")})
-    numbered = keyed.withColumn("_n", F.row_number().over(
-        Window.partitionBy("_id", "_row", "_source").orderBy(F.lit(0))))
+        F.col("doc_id").alias("id"), "row", "source", "copies")
+    keys = ["id", "row", "source"]
+    copies = copies.withColumn("n", F.row_number().over(
+        Window.partitionBy(*keys).orderBy("copies")))
+    # The row travels as one value, so no column of it meets a name that is used here.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("row"),
+        F.col("source").cast("string").alias("source"))
+    numbered = keyed.withColumn("n", F.row_number().over(
+        Window.partitionBy(*keys).orderBy(F.xxhash64("document"))))
     met = numbered.alias("d").join(copies.alias("c"), [
-        F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in ("_id", "_row", "_source", "_n")])
-    return met.select(*[F.col(f"d.`{c}`") for c in names],
-                      F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("_copy")).drop("_copy")
+        F.col(f"d.{k}").eqNullSafe(F.col(f"c.{k}")) for k in (*keys, "n")])
+    return met.select(F.col("d.document").alias("document"), F.explode(
+        F.sequence(F.lit(1), F.col("c.copies"))).alias("copy")).select("document.*")
