@@ -18,23 +18,33 @@ ORACLE_SQL = None
 TOXIC = 0.3
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` doesn't have, whatever the case of its letters."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops every row whose document scores as toxic; null and empty texts stay. Rows that share
     a doc_id go together. Learns from the labelled documents that aren't held out."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
     model = toxicity.fit_labelled(docs, labels)
+    rejected = _free(docs, "rejected")
     toxic = toxicity.toxicity_scores(docs, model).where(F.col("score") >= TOXIC).select(
-        F.col("doc_id").alias("_toxic")).distinct()
-    return docs.join(toxic, F.col("doc_id").eqNullSafe(F.col("_toxic")), "left_anti")
+        F.col("doc_id").alias(rejected)).distinct()
+    return docs.join(toxic, F.col("doc_id").eqNullSafe(F.col(rejected)), "left_anti")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents that links of similar word sets join, the one with the smallest
     doc_id stays; rows without words, and rows without doc_id, are in no group and stay. Five
     words a shingle, similarity 0.8 or more. Rows that share a doc_id share its fate."""
+    copy = _free(docs, "copy")
     gone = partenum.similarity_classes(docs, words=5, similarity=partenum.Fraction(8, 10)).where(
-        "component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+        "component_id <> doc_id").select(F.col("doc_id").alias(copy)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(copy), "left_anti")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,19 +52,19 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     characters only. Null texts stay null, and so do ``n_chars`` that were null; otherwise
     ``n_chars`` is counted anew. Rows without a change stay as they are; no row is dropped."""
     columns = docs.columns
-    row = F.xxhash64(F.col("text").cast("string"))
-    keyed = docs.withColumn("_row", row)
+    row, of, cut_row, kept = (_free(docs, n) for n in ("text_hash", "cut_id", "cut_hash", "kept"))
+    keyed = docs.withColumn(row, F.xxhash64(F.col("text").cast("string")))
     cut = repeats.remove_repeats(docs, length=100, characters=True).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("row").alias("_cut"),
-        F.decode("kept", "UTF-8").alias("_kept")).distinct()
-    met = keyed.join(cut, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & F.col("_row").eqNullSafe(F.col("_cut")), "left")
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(F.col("_kept"))
-    made = {"text": text}
+        F.col("doc_id").alias(of), F.col("row").alias(cut_row),
+        F.decode("kept", "UTF-8").alias(kept)).distinct()
+    met = keyed.join(cut, F.col("doc_id").eqNullSafe(F.col(of))
+                     & F.col(row).eqNullSafe(F.col(cut_row)), "left")
+    left = F.col(kept)
+    made = {"text": F.when(left.isNull(), F.col("text")).otherwise(left)}
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        made["n_chars"] = F.when(F.col("_kept").isNull() | F.col("n_chars").isNull(),
-                                 F.col("n_chars")).otherwise(F.char_length("_kept").cast(kind))
+        made["n_chars"] = F.when(left.isNull() | F.col("n_chars").isNull(),
+                                 F.col("n_chars")).otherwise(F.char_length(left).cast(kind))
     return met.select(*[made[c].alias(c) if c in made else F.col(f"`{c}`") for c in columns])
 
 
