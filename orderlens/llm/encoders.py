@@ -8,7 +8,8 @@ import os
 import re
 from array import array
 
-_LATE_SPACE = re.compile(r"[^\S ] ")
+# U+180E counts as white space in some tables only.
+_RUN = re.compile("[\\s\\u180e]{2}")
 
 
 def _ends_in_letter(word: str) -> bool:
@@ -23,8 +24,8 @@ class WordEncoder:
 
     Both public vocabularies split a text at a space between two words before they merge
     anything, so a text's ids are those of its words back to back. Each distinct word goes to
-    the library once and is remembered; beyond ``keep`` words the memory starts anew.
-    Texts in which a space follows other white space are encoded whole.
+    the library once and is remembered; beyond half of ``keep`` words the memory starts anew
+    and takes over from the one before what is met again.
     """
 
     def __init__(self, path: str, keep: int = 600_000):
@@ -37,6 +38,7 @@ class WordEncoder:
         # Added tokens are matched before letters are lowered, so texts with "<|" stay as they are.
         self.lower_case = "Lowercase" in json.dumps(described["normalizer"])
         self.keep, self.first, self.later = keep, {}, {}
+        self.older = {}     # what each memory held before it started anew
         self.unmerged = {x.content for x in self.tokenizer.get_added_tokens_decoder().values()}
         self.line_end = self._library(["\n"])[0]
         self.points = dict(zip([",", "."], self._library([",", "."])))
@@ -51,17 +53,15 @@ class WordEncoder:
         return [array("I", [x.id for x in merge(mark + w)]).tobytes() for w in words]
 
     def _learn(self, known: dict, words: set, before: str) -> None:
+        older = self.older.get(before, {})
+        known.update((w, older[w]) for w in words if w in older and w not in known)
         new = [w for w in words if w not in known]
         # Words with one line end between them: the words, and the line end's own ids.
         lines = {w: w.split("\n") for w in new if "\n" in w}
-        lines = {w: p for w, p in lines.items() if all(p) and len(w.split()) == len(p)}
-        after = {p for parts in lines.values() for p in parts[1:]}
+        lines = {w: p for w, p in lines.items() if all(p) and all(x == x.strip() for x in p)
+                 and len(w.split()) == len(p)}
         new = set(new).difference(lines)
-        new.update(p[0] for p in lines.values() if p[0] not in known)
-        if self.spaces_count and after:
-            self._learn(self.first, after, "")
-        else:
-            new.update(p for p in after if p not in known)
+        new.update(x for p in lines.values() for x in p if x not in known)
         # A comma or full stop after a Latin letter is split off by both vocabularies.
         pointed = [w for w in new if w[-1:] in self.points and _ends_in_letter(w[:-1])]
         ask = set(new).difference(pointed)
@@ -75,32 +75,44 @@ class WordEncoder:
         known.update(zip(ask, self._library([before + w for w in ask])))
         for w in pointed:
             known[w] = known[w[:-1]] + self.points[w[-1]]
-        next_line = self.first if self.spaces_count else known
         for w, parts in lines.items():
-            known[w] = known[parts[0]] + b"".join(self.line_end + next_line[p] for p in parts[1:])
+            known[w] = known[parts[0]] + b"".join(self.line_end + known[p] for p in parts[1:])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.first) + len(self.later) > self.keep:
-            self.first.clear()
-            self.later.clear()
-        whole = {}
+        if len(self.first) + len(self.later) > self.keep // 2:
+            # Words still in use are taken over from the memory before.
+            self.older = {" ": self.later, "": self.first} if self.spaces_count else {
+                "": self.later}
+            self.first, self.later = {}, {}
         if self.spaces_count:
-            whole = {i: None for i, t in enumerate(texts) if "  " in t or _LATE_SPACE.search(t)}
-            for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-                whole[i] = ids
-        elif self.lower_case:
+            return self._encode_spaced(texts)
+        if self.lower_case:
             texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
-        split = [[] if i in whole else t.split(" ") for i, t in enumerate(texts)]
-        if not self.spaces_count:
-            self._learn(self.later, set().union(*split), "")
-            get = self.later.__getitem__
-            return [b"".join(map(get, words)) for words in split]
-        self._learn(self.first, {words[0] for words in split if words}, "")
-        self._learn(self.later, set().union(*(words[1:] for words in split)), " ")
+        split = [t.split(" ") for t in texts]
+        self._learn(self.later, set().union(*split), "")
+        get = self.later.__getitem__
+        return [b"".join(map(get, words)) for words in split]
+
+    def _encode_spaced(self, texts: list[str]) -> list[bytes]:
+        """For a vocabulary in which a space belongs to the word behind it, and a line end between
+        two visible characters is a token of its own. Texts with a run of white space go to the
+        library whole, as what a run becomes depends on what follows."""
+        whole = [i for i, t in enumerate(texts) if _RUN.search(t)]
+        out = [b""] * len(texts)
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = ids
+        rest = sorted(set(range(len(texts))).difference(whole))
+        split = [texts[i].replace("\n", " \n").split(" ") for i in rest]
+        # A word that starts with a line end has no space before it.
+        words = set().union(*(w[1:] for w in split))
+        lines = [w for w in words if w[:1] == "\n" and w not in self.later]
+        self._learn(self.first, {w[0] for w in split}.union(w[1:] for w in lines), "")
+        self._learn(self.later, words.difference(lines), " ")
+        self.later.update((w, self.line_end + self.first[w[1:]]) for w in lines)
         first, get = self.first.__getitem__, self.later.__getitem__
-        return [whole[i] if i in whole else
-                first(words[0]) + b"".join(map(get, words[1:]))
-                for i, words in enumerate(split)]
+        for i, parts in zip(rest, split):
+            out[i] = first(parts[0]) + b"".join(map(get, parts[1:]))
+        return out
 
 
 @functools.lru_cache(maxsize=4)
