@@ -150,22 +150,28 @@ def _recommend_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The recommendations with all their columns, written and read back."""
     path = new_work_path(spark, "recommendations-csv")
-    top = _closed_form_top(spark, sf_dir).select(*oracles.TOP_COLUMNS)
+    top = _closed_form_top(spark, sf_dir).select(*oracles.FILE_COLUMNS)
     write_recommendations_csv(top, path)
-    return read_recommendations_csv(spark, path, T.StructType([
-        T.StructField("customer_id", T.LongType()), T.StructField("product_id", T.LongType()),
-        T.StructField("category_name", T.StringType()),
-        T.StructField("purchase_probability", T.DoubleType())]))
+    return read_recommendations_csv(spark, path, top.schema)
 
 
 def _split_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scale on the training side, save by split, read the test side back."""
+    """Scale on the training side, save by split, read both sides back."""
     rows = sampling.stratified_split(_lines(spark, sf_dir), "is_returned", "line_id")
     scaled, _ = sampling.standard_scale(rows, LINE_FEATURES, rows.where("split = 'train'"))
     path = new_work_path(spark, "splits")
     write_splits(scaled.select("line_id", "is_returned", "split", *LINE_FEATURES), path)
-    return read_split(spark, path, "test")
+    return read_split(spark, path, "train").unionByName(read_split(spark, path, "test"))
+
+
+def _quarter_dummies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 0/1 columns of the quarters, one row per order and column."""
+    dummies = orders.quarter_dummies(_labels(spark, sf_dir))
+    marks = [c for c in dummies.columns if c.startswith("year_quarter_")]
+    return dummies.select("order_id", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("quarter"), F.col(c).alias("flag")) for c in marks])))
 
 
 def _model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,6 +241,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "order_totals": lambda s, d: orders.order_features(_tables(s, d), fanout=False),
         "reorder_labels": _labels,
         "confirmed_lapsed": lambda s, d: orders.confirmed_lapsed(_labels(s, d)),
+        "quarter_dummies": _quarter_dummies,
         "parse_dates": _parse_dates,
         "return_lines": _lines,
         "product_stats": lambda s, d: returns.product_stats(_tables(s, d)["order_details"]),
@@ -292,10 +299,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return lambda spark, sf_dir: _columns(key, make(spark, sf_dir))
 
     result = {key: contract(key, make) for key, make in checked.items()}
-    result["quarter_dummies"] = lambda s, d: (
-        lambda df: df.select("order_id", *[F.col(c).cast("bigint").alias(c) for c in df.columns
-                                           if c.startswith("year_quarter_")])
-    )(orders.quarter_dummies(_labels(s, d)))
     result |= {
         "model_roundtrip": _model_roundtrip,
         "smote": _smote,

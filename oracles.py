@@ -237,6 +237,13 @@ LINE_COLUMNS = {"line_id": "s", "order_id": "i", "customer_id": "i", "product_id
 TOP_COLUMNS = {"customer_id": "i", "product_id": "i", "category_name": "s",
                "purchase_probability": "d"}
 
+FILE_COLUMNS = TOP_COLUMNS | {
+    "category_id": "i", "product_price": "d", "discontinued": "i", "customer_orders": "i",
+    "customer_spend": "d", "customer_avg_price": "d", "category_spend": "d",
+    "category_quantity": "i", "category_spend_share": "r4", "product_orders": "i",
+    "product_buyers": "i", "price_ratio": "r4", "recency_days": "i",
+    "category_recency_days": "i", "purchased": "i", "rank": "i"}
+
 COLUMNS: dict[str, dict[str, str]] = {
     "scan_order_lines": {"line_id": "s", "order_id": "i", "product_id": "i", "unit_price": "d",
                          "quantity": "i", "discount": "d"},
@@ -245,6 +252,7 @@ COLUMNS: dict[str, dict[str, str]] = {
     "reorder_labels": FEATURE_COLUMNS | {"next_order_date": "t", "will_reorder_6m": "i",
                                          "label_is_reliable": "i"},
     "confirmed_lapsed": {"order_id": "i", "order_date": "t", "next_order_date": "t"},
+    "quarter_dummies": {"order_id": "i", "quarter": "s", "flag": "i"},
     "parse_dates": {"order_id": "i", "order_date": "t"},
     "return_lines": LINE_COLUMNS,
     "product_stats": {"product_id": "i", "avg_discount_by_product": "d",
@@ -276,7 +284,7 @@ COLUMNS: dict[str, dict[str, str]] = {
     "top_k_per_customer": TOP_COLUMNS | {"rank": "i", "purchased": "i"},
     "precision_at_k": {"precision": "d"},
     "recommend_lookup": TOP_COLUMNS,
-    "csv_roundtrip": TOP_COLUMNS,
+    "csv_roundtrip": FILE_COLUMNS,
     "iqr_bounds": {"column": "s", "q1": "d", "q3": "d", "iqr": "d", "lower": "d", "upper": "d"},
     "outlier_report": {"column": "s", "n_outliers": "i", "pct_outliers": "r6", "lower": "d",
                        "upper": "d"},
@@ -294,7 +302,7 @@ COLUMNS: dict[str, dict[str, str]] = {
     "stratified_split": {"line_id": "s", "split": "s"},
     "validation_split": {"line_id": "s", "is_validation": "i"},
     "standard_scale": {"line_id": "s"} | {c: "r4" for c in RETURN_FEATURES},
-    "split_roundtrip": {"line_id": "s", "is_returned": "i"} | {c: "r4" for c in RETURN_FEATURES},
+    "split_roundtrip": {"line_id": "s", "is_returned": "i", "split": "s"} | {c: "r4" for c in RETURN_FEATURES},
     "class_weights": {"line_id": "s", "weight": "d"},
     "smote_neighbors": {"line_id": "s", "neighbour_key": "s", "rank": "i", "distance": "r6"},
     "resampled_counts": {"is_returned": "i", "n": "i"},
@@ -334,9 +342,10 @@ WHERE o.order_date >= DATE '1997-05-06'
 GROUP BY c.customer_id, o.order_id, o.order_date, c.country, c.city""",
     "reorder_labels": f"WITH {LABELS} SELECT *, TRUE AS label_is_reliable FROM labels",
     "confirmed_lapsed": f"WITH {LABELS} SELECT * FROM labels WHERE NOT will_reorder_6m",
-    "quarter_dummies": f"""WITH {LABELS}, marks AS (SELECT order_id,
-  'year_quarter_' || year_quarter AS mark FROM labels)
-SELECT * EXCLUDE ("year_quarter_1997Q2") FROM (PIVOT marks ON mark USING count(*) GROUP BY order_id)""",
+    "quarter_dummies": f"""WITH {LABELS}, levels AS (SELECT DISTINCT year_quarter AS level FROM labels)
+SELECT order_id, 'year_quarter_' || level AS quarter,
+  CASE WHEN year_quarter = level THEN 1 ELSE 0 END AS flag
+FROM labels, levels WHERE level > (SELECT min(level) FROM levels)""",
     "parse_dates": """SELECT o_orderkey AS order_id, TRY_CAST(CASE WHEN o_orderstatus = 'F'
   THEN 'on ' ELSE '' END || strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS order_date FROM orders""",
     "return_lines": f"WITH {LINES} SELECT * FROM lines",
@@ -426,7 +435,8 @@ FROM lines GROUP BY ALL""",
     "standard_scale": f"WITH {LINES} SELECT line_id, {_scaled('lines')} FROM lines",
     "split_roundtrip": f"WITH {LINES}, parts AS ({_split('lines', 'is_returned', '0.2', 42)}),"
                        f" train AS (SELECT * FROM parts WHERE NOT chosen)"
-                       f" SELECT line_id, is_returned, {_scaled('train')} FROM parts WHERE chosen",
+                       f" SELECT line_id, is_returned, CASE WHEN chosen THEN 'test' ELSE 'train' END"
+                       f" AS split, {_scaled('train')} FROM parts",
     "class_weights": f"""WITH {LINES} SELECT line_id, count(*) OVER () /
   CAST(2 * count(*) OVER (PARTITION BY is_returned) AS DOUBLE) AS weight FROM lines""",
     "smote_neighbors": NEIGHBOURS,

@@ -60,13 +60,15 @@ def next_order_dates(orders: DataFrame) -> DataFrame:
 
     A window over all orders of a customer would sort a very large customer in one task.
     All orders of a day but its last are followed by an order of the same day, so the window
-    runs over the distinct days of a customer instead, a list the calendar bounds.
+    runs over the distinct days of a customer instead, a list the calendar bounds. An order
+    without a customer or a date follows none and is followed by none.
     """
-    days = orders.groupBy("customer_id", "order_date").agg(
+    placed = orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
+    days = placed.groupBy("customer_id", "order_date").agg(
         F.max("order_id").alias("_last_order"))
     by_day = Window.partitionBy("customer_id").orderBy("order_date")
     days = days.withColumn("_next_day", F.lead("order_date").over(by_day))
-    return orders.join(days, ["customer_id", "order_date"]).select(
+    return orders.join(days, ["customer_id", "order_date"], "left").select(
         *[orders[c] for c in orders.columns],
         F.when(orders["order_id"] < F.col("_last_order"), orders["order_date"])
         .otherwise(F.col("_next_day")).alias("next_order_date"))

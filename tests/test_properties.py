@@ -270,3 +270,13 @@ def test_quantiles_use_no_window(spark, monkeypatch):
     assert (row["a"], row["b"]) == tuple(pd.Series(range(20_000)).quantile([0.1, 0.9]))
     assert len(plans) > 3
     assert not any(word in plan for plan in plans for word in ("Window", "Sort ", "hashpartitioning"))
+
+
+def test_next_order_keeps_rows_without_keys(spark):
+    """An order without a date or a customer stays, and is nobody's next."""
+    day = dt.date(2020, 1, 1)
+    rows = [(1, 7, day), (2, 7, None), (3, None, day), (4, 7, day + dt.timedelta(3)), (5, None, None)]
+    got = orders.next_order_dates(spark.createDataFrame(
+        rows, "order_id long, customer_id long, order_date date")).collect()
+    assert {r["order_id"]: r["next_order_date"] for r in got} == {
+        1: day + dt.timedelta(3), 2: None, 3: None, 4: None, 5: None}
