@@ -31,7 +31,9 @@ from .tables import written
 
 #: Stretches a Python worker remembers (about 500 bytes each), the bytes of those, and pairs a task
 #: sums up before it hands them on.
-MEMORY, MEMORY_BYTES, PAIRS = 250_000, 16 << 20, 1_000_000
+MEMORY, MEMORY_BYTES, PAIRS = 160_000, 10 << 20, 500_000
+#: Rows of whole texts that a task is handed at a time; many would fill its memory twice over.
+BATCH_ROWS = 1_000
 #: Pair counts that are sent to all tasks at a time (12 bytes each).
 BLOCK_PAIRS = 4_000_000
 #: A text that more than this share of all rows has goes to its documents by broadcast: there are
@@ -40,7 +42,7 @@ HOT = 0.001
 # A place between a visible character and a space or line end (U+180E counts as white space in some
 # tables only), and one between a letter and a comma or full stop.
 _SPACES, _POINTS = "(?<=[^\\s\\u180e])(?=[ \n])", "(?<=[a-zß-öø-ÿ])(?=[.,])"
-_LEARN = 20_000  # stretches encoded at a time
+_LEARN = 8_000  # stretches encoded at a time
 _SHIFT = 15     # of A ids in pair keys; B has fewer than 32,768 ids
 _ROW = "key binary, copies long, n_a long, n_b long, n_groups long, n_links long, " \
        "groups_sha256 string, a_ids binary, b_ids binary, a_sizes binary, b_sizes binary, " \
@@ -449,8 +451,8 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     distinct = rows.where("text <> ''").groupBy("text").agg(F.count("*").alias("copies"))
     keyed = distinct.select(F.unhex(F.sha2("text", 256)).alias("key"), "copies", "text")
     aligned = written(keyed.mapInArrow(lambda it: _align_texts(it, path_a, path_b), _ROW),
-                      "aligned-texts")
-    measured = written(measured_texts(aligned), "measured-texts")
+                      "aligned-texts", BATCH_ROWS)
+    measured = written(measured_texts(aligned), "measured-texts", BATCH_ROWS)
     total = measured.agg(F.sum("copies")).first()[0] or 0
     measures = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
     thin = rows.select("doc_id", F.when(F.col("text") != "", F.unhex(F.sha2("text", 256)))

@@ -9,23 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from orderlens.sources import materialize
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 @contextmanager
-def _shuffles_removed(spark: SparkSession):
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(_CLEANUP)
-        else:
-            spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared work folder and read back. The shuffle files behind it
-    are removed as soon as the table stands, so stages don't add up on the executors' disks."""
-    with _shuffles_removed(df.sparkSession):
+    are removed as soon as the table stands, so stages don't add up on the executors' disks.
+    ``batch_rows`` bounds the rows that a Python task is handed at a time."""
+    values = {_CLEANUP: "true"} | ({} if batch_rows is None else {_BATCH: str(batch_rows)})
+    with _settings(df.sparkSession, values):
         return materialize(df, name)
