@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.measures import flag
@@ -20,16 +19,48 @@ def score_threshold(df: DataFrame, threshold: float, score: str = "probability",
     return df.withColumn("prediction_text", F.when(above, texts[1]).otherwise(texts[0]))
 
 
+#: Hex digits of a score's fraction that each level of ``roc_auc`` looks at: a group has at most
+#: 16 to the power of the difference of neighbours, 65,536, members at the next level.
+FRACTION_DIGITS = (0, 3, 6, 9, 13)
+
+
 def roc_auc(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """Exact area under the ROC curve, ties counted half: metric, value.
 
-    The evaluator sorts distinct scores across tasks; it runs when this is called.
+    Lazy, and without a sort of all scores. Scores are counted per value, then per prefix of their
+    binary form: sign and exponent, and more and more of the fraction. Every prefix covers a range
+    of scores, and two different scores part at exactly one level, so the pairs that a positive
+    wins are the sum, over the levels, of its prefix's positives times the negatives of lower
+    prefixes with the same parent. Windows see the prefixes of one parent only, which the format
+    of a double bounds. Rows with a NULL label or score take no part; a NaN ranks above all
+    numbers; one class alone has no value (NULL).
     """
-    evaluator = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=score, numBins=0)
-    value = evaluator.evaluate(df.select(F.col(label).cast("double").alias(label),
-                                         F.col(score).cast("double").alias(score)))
-    return df.sparkSession.range(1).select(F.lit("roc_auc").alias("metric"),
-                                           F.lit(float(value)).alias("value"))
+    value = F.col(score).cast("double") + F.lit(0.0)   # -0.0 is 0.0
+    labelled = df.select(F.col(label).cast("int").alias("_label"), value.alias("_score")).where(
+        "_label is not null and _score is not null")
+    counted = labelled.groupBy("_score").agg(
+        F.count_if(F.col("_label") == 1).alias("_pos"), F.count_if(F.col("_label") != 1).alias("_neg"))
+    text = F.format_string("%a", "_score")             # as in -0x1.8p-3
+    head = F.regexp_replace(text, r"\.[0-9a-f]*", "")
+    fraction = F.rpad(F.regexp_extract(text, r"\.([0-9a-f]*)", 1), FRACTION_DIGITS[-1], "0")
+    shorter = [F.lit(""), *[F.concat_ws(".", head, F.substring(fraction, 1, n))
+                            for n in FRACTION_DIGITS]]
+    levels = counted.select("_score", "_pos", "_neg", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("_level"), parent.alias("_parent"), prefix.alias("_prefix"))
+        for i, (parent, prefix) in enumerate(zip(shorter, shorter[1:]))])))
+    grouped = levels.groupBy("_level", "_parent", "_prefix").agg(
+        F.min("_score").alias("_from"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"))
+    lower = Window.partitionBy("_level", "_parent").orderBy("_from").rowsBetween(
+        Window.unboundedPreceding, -1)
+    wide = "decimal(19,0)"                             # products of counts are exact
+    below = F.coalesce(F.sum("_neg").over(lower), F.lit(0)).cast(wide)
+    last = F.col("_level") == len(FRACTION_DIGITS) - 1
+    ranked = grouped.select("_pos", "_neg", last.alias("_last"), below.alias("_below"))
+    pos, neg = (F.sum(F.when(F.col("_last"), F.col(c))).cast("double") for c in ("_pos", "_neg"))
+    won = F.sum(F.col("_pos").cast(wide) * F.col("_below")).cast("double")
+    tied = F.sum(F.when(F.col("_last"), F.col("_pos").cast(wide) * F.col("_neg").cast(wide)))
+    return ranked.agg(F.try_divide(won + tied.cast("double") / 2, pos * neg).alias("value")).select(
+        F.lit("roc_auc").alias("metric"), "value")
 
 
 def _rows_where(condition: Column, weight: str | None) -> Column:

@@ -20,25 +20,32 @@ def _draw_cuts(drawn: DataFrame, label: str, wanted: Callable[[Column], Column])
     """Per class the draw up to which exactly ``wanted(n)`` rows fall; no row for a class
     that wants none.
 
-    Ranking a class as a whole would sort it in one task. Rows are counted per four-digit
-    prefix of the draw, and only the one prefix in which the cut lies is ranked: a 65,536th
-    of the class.
+    No class is ranked. Its rows are counted per value of the first four hex digits of the draw,
+    the value in which the cut lies is counted by the next four, and what shares those eight
+    digits, a four-billionth of the class, by whole draws. A window sees at most 65,536 counts of
+    a class, or, at the end, those few draws; copies of a row are one of them.
     """
-    prefix = F.substring("_draw", 1, 4)
-    drawn = materialize(drawn.select(label, "_draw"), "draws")   # read twice, so written narrow
-    counts = drawn.groupBy(label, prefix.alias("_prefix")).agg(F.count("*").alias("_rows"))
-    by_class = Window.partitionBy(label)
-    upto = by_class.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edges = (counts.withColumn("_upto", F.sum("_rows").over(upto))
-             .withColumn("_want", wanted(F.sum("_rows").over(by_class)).cast("bigint"))
-             .where("_upto >= _want and _upto - _rows < _want")
-             .select(label, "_prefix", (F.col("_want") - F.col("_upto") + F.col("_rows"))
-                     .alias("_nth")))
-    nearby = drawn.withColumn("_prefix", prefix).join(
-        F.broadcast(edges), [label, "_prefix"])   # one edge per class
-    order = Window.partitionBy(label).orderBy("_draw")
-    return (nearby.withColumn("_rank", F.row_number().over(order)).where("_rank = _nth")
-            .select(label, F.col("_draw").alias("_cut")))
+    drawn = materialize(drawn.select(label, "_draw"), "draws")   # read three times, so written narrow
+    digits = [F.substring("_draw", 1, 4), F.substring("_draw", 5, 4), F.col("_draw")]
+    by_class = Window.partitionBy("_class")
+    upto = by_class.orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows, edges = drawn.withColumn("_class", F.col(label)), None
+    for place, value in enumerate(digits):
+        if edges is not None:
+            reached = edges.select("_class", "_want", F.col("_value").alias("_reached"))
+            rows = rows.join(F.broadcast(reached), "_class").where(   # one row per class
+                digits[place - 1] == F.col("_reached")).drop("_reached")
+        known = [] if edges is None else ["_want"]
+        counts = rows.groupBy("_class", *known, value.alias("_value")).agg(
+            F.count("*").alias("_rows")).withColumn("_upto", F.sum("_rows").over(upto))
+        if edges is None:
+            counts = counts.withColumn(
+                "_want", wanted(F.sum("_rows").over(by_class)).cast("bigint"))
+        # What is still wanted inside the value that the cut lies in.
+        edges = counts.where("_upto >= _want and _upto - _rows < _want").withColumn(
+            "_want", F.col("_want") - F.col("_upto") + F.col("_rows"))
+        rows = rows.select(label, "_draw", "_class")
+    return edges.select(F.col("_class").alias(label), F.col("_value").alias("_cut"))
 
 
 def stratified_split(df: DataFrame, label: str, key: str | Sequence[str], test: float = 0.2,
