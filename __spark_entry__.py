@@ -18,8 +18,9 @@ from orderlens.functions.measures import parse_date  # noqa: E402
 from orderlens.operators import (explain, metrics, orders, quality, recommend,  # noqa: E402
                                  returns, sampling)
 from orderlens.plans import jobs, learners  # noqa: E402
-from orderlens.sources import (load_model, new_work_path, read_recommendations_csv,  # noqa: E402
-                               read_split, save_model, tables_from_star_schema,
+from orderlens.sources import (load_model, new_work_path, read_recommendations,  # noqa: E402
+                               read_recommendations_csv, read_split, save_model,
+                               tables_from_star_schema, write_recommendations,
                                write_recommendations_csv, write_splits)
 
 # The training-data operators and their pipeline are an add-on: without them the rest still works.
@@ -94,11 +95,11 @@ def _linear_score(df: DataFrame) -> DataFrame:
 
 def _attributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir)
-    background = explain.background_sample(lines, LINE_FEATURES, "line_id", n=20)
+    background = explain.background_sample(lines, LINE_FEATURES, "line_id")
     return explain.shapley_values(_linear_score, lines, LINE_FEATURES, background, "line_id")
 
 
-_trained: dict[tuple[str, str, str], jobs.Trained | jobs.Recommender] = {}
+_trained: dict[tuple[str, str, str], object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, train: Callable):
@@ -145,8 +146,15 @@ def _feature_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recommend_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A group of customers looked up in the stored recommendations, which are made once."""
+    def store() -> str:
+        path = new_work_path(spark, "recommendations")
+        write_recommendations(_closed_form_top(spark, sf_dir), path)
+        return path
+
     keys = _tables(spark, sf_dir)["customers"].where("city = 'BUILDING'")
-    return recommend.recommend_lookup(_closed_form_top(spark, sf_dir), keys)
+    path = _once(spark, sf_dir, "recommendations", store)
+    return recommend.recommend_lookup(read_recommendations(spark, path), keys)
 
 
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,11 +210,17 @@ def _score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _explain_risky(spark: SparkSession, sf_dir: str) -> DataFrame:
     trained = _return_model(spark, sf_dir)
-    background = explain.background_sample(trained.train, LINE_FEATURES, "line_id", n=50)
+    background = explain.background_sample(trained.train, LINE_FEATURES, "line_id")
     return explain.explain_risky(trained.model, trained.scored_test, LINE_FEATURES, background,
                                  "line_id")
 
 
+def _return_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean size of the trained model's attributions over the whole test side."""
+    return _once(spark, sf_dir, "return-explained", lambda: jobs.explain_returns(
+        _return_model(spark, sf_dir)))["importance"]
+
+
 def _reorder_model(spark: SparkSession, sf_dir: str, variant: str = "smote") -> jobs.Trained:
     return _once(spark, sf_dir, f"reorder-{variant}", lambda: jobs.train_reorder(
         _tables(spark, sf_dir), jobs.ReorderConfig(variant=variant)))
@@ -307,6 +321,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "return_metrics": lambda s, d: _return_model(s, d).metrics,
         "score_requests": _score_requests,
         "explain_risky": _explain_risky,
+        "return_importance": _return_importance,
         "reorder_scores": _reorder_scores,
         "reorder_plain_scores": lambda s, d: _reorder_scores(s, d, "plain"),
         "reorder_metrics": lambda s, d: _reorder_model(s, d).metrics,

@@ -208,7 +208,7 @@ NEIGHBOURS = (
     " ORDER BY distance, neighbour_key) AS rank FROM pairs) WHERE rank <= 5")
 
 ATTRIBUTIONS = (
-    f"{LINES}, background AS (SELECT * FROM lines ORDER BY md5(line_id || '|42') LIMIT 20), "
+    f"{LINES}, background AS (SELECT * FROM lines ORDER BY md5(line_id || '|42') LIMIT 100), "
     "attributions AS (" + " UNION ALL ".join(
         f"SELECT line_id, '{c}' AS feature, CAST({w} AS DOUBLE) * (CAST({c} AS DOUBLE)"
         f" - (SELECT avg(CAST({c} AS DOUBLE)) FROM background)) AS value FROM lines"

@@ -6,13 +6,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import explain, orders, quality, recommend, returns
 from ..operators.metrics import binary_metrics
 from ..operators.sampling import (class_weights, smote, stratified_split, validation_split)
-from ..sources.store import materialize, write_splits
+from ..sources.store import materialize, write_recommendations, write_splits
 from ..sources.tables import Tables
 from . import learners
 
@@ -69,6 +70,8 @@ class RecommendConfig:
     #: others if there are enough.
     fit_pairs: int = 100_000
     seed: int = 42
+    #: Folder in which the recommendations are stored for lookups.
+    top_path: str | None = None
 
 
 @dataclass(frozen=True)
@@ -81,6 +84,9 @@ class Trained:
     train: DataFrame
     columns: list[str] = field(default_factory=list)
     curve: DataFrame | None = None
+    #: The reorder model behind the stage that makes the quarter columns: it takes orders as
+    #: ``reorder_labels`` returns them (with ``net_spent_winsorized``).
+    raw_model: PipelineModel | None = None
 
 
 def _scaled_columns(cols: Sequence[str]) -> list[str]:
@@ -138,34 +144,37 @@ def explain_returns(trained: Trained, key: str = "line_id", n: int = 5,
                     n_background: int = 100) -> dict[str, DataFrame]:
     """Attributions of the test rows, their mean size per feature, and the first risky rows."""
     background = explain.background_sample(trained.train, trained.columns, key, n_background)
-    values = explain.shapley_values(explain.model_score(trained.model), trained.scored_test,
-                                    trained.columns, background, key)
+    values = materialize(explain.shapley_values(
+        explain.model_score(trained.model), trained.scored_test, trained.columns, background, key),
+        "attributions")   # two of the tables read them
     return {"values": values, "importance": explain.feature_importance(values),
             "risky": explain.explain_risky(trained.model, trained.scored_test, trained.columns,
                                            background, key, n)}
 
 
-def reorder_training_rows(tables: Tables, cfg: ReorderConfig) -> tuple[DataFrame, list[str]]:
-    """Labelled orders with the quarter as 0/1 columns, and the feature names. The reliability
-    flag is constant after filtering and is left out."""
+def reorder_training_rows(tables: Tables, cfg: ReorderConfig
+                          ) -> tuple[DataFrame, list[str], SQLTransformer]:
+    """Labelled orders with the quarter as 0/1 columns, the feature names, and the stage that
+    made those columns. The reliability flag is constant after filtering and is left out."""
     features = orders.order_features(tables, cfg.since, cfg.fanout)
     labelled = materialize(orders.reorder_labels(features, cfg.horizon_days, cfg.reliable_months),
                            "reorder-labels")
     winsorized = quality.winsorize(features, "net_spent").select("order_id", "net_spent_winsorized")
-    rows = orders.quarter_dummies(labelled).join(winsorized, "order_id")
+    quarter = learners.quarter_stage(orders.quarter_levels(labelled))
+    rows = quarter.transform(labelled).join(winsorized, "order_id")
     rows = rows.withColumn("will_reorder_6m", F.col("will_reorder_6m").cast("int")).withColumn(
         "order_id", F.col("order_id").cast("string"))
     quarters = [c for c in rows.columns if c.startswith("year_quarter_")]
     cols = ["net_spent", "total_quantity", "avg_discount", "avg_unit_price", "total_orders",
             "net_spent_winsorized", *quarters]
-    return rows.select("order_id", "will_reorder_6m", *cols), cols
+    return rows.select("order_id", "will_reorder_6m", *cols), cols, quarter
 
 
 def train_reorder(tables: Tables, cfg: ReorderConfig = ReorderConfig()) -> Trained:
     """``variant="plain"`` fits on the rows as they are, ``"smote"`` on oversampled ones: by
     default only the training side, with ``smote_before_split`` all rows."""
     label, key = "will_reorder_6m", "order_id"
-    rows, cols = reorder_training_rows(tables, cfg)
+    rows, cols, quarter = reorder_training_rows(tables, cfg)
     if cfg.variant == "smote" and cfg.smote_before_split:
         rows = smote(rows, cols, label, key, cfg.smote_ratio, seed=cfg.seed)
     rows = materialize(stratified_split(rows, label, key, seed=cfg.seed), "reorder-rows")
@@ -175,7 +184,8 @@ def train_reorder(tables: Tables, cfg: ReorderConfig = ReorderConfig()) -> Train
     ratio = cfg.smote_ratio if cfg.variant == "smote" and not cfg.smote_before_split else None
     model, curve = _network([scaling], cols, cfg, label, key, ready, ratio)
     scored = materialize(learners.score(model, test, cfg.threshold), "reorder-scores")
-    return Trained(model, binary_metrics(scored, label), scored, train, cols, curve)
+    raw_model = PipelineModel(stages=[quarter, *model.stages])
+    return Trained(model, binary_metrics(scored, label), scored, train, cols, curve, raw_model)
 
 
 @dataclass(frozen=True)
@@ -239,6 +249,8 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
     precision = recommend.precision_at_k(best, cfg.k)
     top = recommend.recommend_features(tables, best, known).join(
         best.select(*ids, probability, "rank"), ids)
+    if cfg.top_path:
+        write_recommendations(top, cfg.top_path)
     metrics = binary_metrics(materialize(tested, "recommend-tested"), label, probability,
                              "stands_for").unionByName(precision.select(
         F.lit(f"precision@{cfg.k}").alias("metric"), F.lit("1").alias("class"),

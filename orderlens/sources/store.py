@@ -6,7 +6,8 @@ import tempfile
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -49,6 +50,25 @@ def read_recommendations_csv(spark: SparkSession, path: str, schema: T.StructTyp
     return spark.read.schema(schema).option("header", True).csv(path)
 
 
+def customer_bucket(customer: Column, buckets: Column) -> Column:
+    """The folder of a customer among ``buckets``."""
+    return F.pmod(F.xxhash64(customer), buckets).cast("int")
+
+
+def write_recommendations(df: DataFrame, path: str, buckets: int = 64) -> None:
+    """Save recommendations for lookups, one folder per bucket of customers and in it sorted by
+    customer, so that a lookup opens the files of its buckets and reads the row groups of its
+    customers. The number of buckets is a folder level too, so a reader finds it in the path."""
+    of = customer_bucket(F.col("customer_id"), F.lit(buckets))
+    placed = df.withColumns({"buckets": F.lit(buckets), "bucket": of})
+    (placed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "customer_id")
+     .write.mode("overwrite").partitionBy("buckets", "bucket").parquet(path))
+
+
+def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split") -> None:
     """Save scaled features and labels, one folder per split, so that reading one side
     prunes the other."""
