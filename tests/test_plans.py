@@ -3,10 +3,12 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from orderlens.operators import orders, recommend, returns
-from orderlens.sources import tables_from_star_schema
+from orderlens.operators import metrics, orders, recommend, returns
+from orderlens.sources import (read_recommendations, tables_from_star_schema,
+                               write_recommendations)
 
 from .oracle_check import compare, connect
 
@@ -58,6 +60,30 @@ def test_top_k_is_cut_before_its_shuffle(no_broadcast):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_stored_lookup_reads_its_buckets_only(spark, tmp_path):
+    top = spark.range(2000).selectExpr(
+        "concat('C', id div 5) as customer_id", "id as product_id", "'tea' as category_name",
+        "id % 5 / 5D as purchase_probability")
+    write_recommendations(top, str(tmp_path / "top"), 16)
+    stored = read_recommendations(spark, str(tmp_path / "top"))
+    one = recommend.recommend_lookup(stored, "C17")
+    assert [r["product_id"] for r in one.collect()] == [89, 88, 87, 86, 85]
+    scan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*bucket", scan)
+    assert re.search(r"PushedFilters: \[[^]]*EqualTo\(customer_id,C17\)", scan)
+    keys = spark.createDataFrame([("C3",), ("C17",), ("C17",), ("nobody",), (None,)], "customer_id string")
+    several = recommend.recommend_lookup(stored, keys)
+    plain = recommend.recommend_lookup(top, keys)
+    assert several.collect() == plain.collect() and several.count() == 10
+    assert recommend.recommend_lookup(stored, "nobody").count() == 0
+
+
+def test_auc_runs_nothing_until_it_is_read(spark):
+    broken = spark.range(4).selectExpr("raise_error('read') as score", "1 as label")
+    text = plan(metrics.roc_auc(broken.selectExpr("cast(score as double) as score", "label")))
+    assert "SinglePartition" in text and not re.search(r"rangepartitioning", text)
+
+
 def test_grid_is_not_shuffled(no_broadcast):
     """Above the join of its two sides the grid has no exchange."""
     tables = tables_from_star_schema(no_broadcast, SF_DIR)

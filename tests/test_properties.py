@@ -1,6 +1,7 @@
 """Properties of sampling, quantiles, neighbours, attributions and metrics."""
 
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
@@ -98,6 +99,23 @@ def test_split_is_complete_and_exact_per_class(spark):
     assert again.exceptAll(split).count() == 0
 
 
+def test_split_keeps_copies_of_a_key_together(spark):
+    """Copies have one draw; the side that reaches the wanted number takes all of them."""
+    df = spark.range(40).selectExpr("id % 4 as key", "id % 2 as label")
+    sides = sampling.stratified_split(df, "label", "key", test=0.3).groupBy("key").agg(
+        F.count_distinct("split").alias("sides"), F.count_if(F.col("split") == "test").alias("n"))
+    assert {(r["sides"], r["n"]) for r in sides.collect()} == {(1, 0), (1, 10)}
+    assert sides.where("n > 0").count() == 2
+
+
+def test_cut_equals_the_nth_draw(spark):
+    drawn = labelled(spark, 5000, 0.3).withColumn("_draw", F.md5("key")).select("label", "_draw")
+    order = drawn.toPandas().sort_values("_draw").groupby("label")["_draw"].apply(list)
+    for n in (1, 2, 77, 900):
+        cuts = sampling._draw_cuts(drawn, "label", lambda rows: F.lit(n)).collect()
+        assert {r["label"]: r["_cut"] for r in cuts} == {c: order[c][n - 1] for c in order.index}
+
+
 def test_split_without_test_rows(spark):
     split = sampling.stratified_split(labelled(spark, 50, 0.5), "label", "key", test=0.0)
     assert {r["split"] for r in split.collect()} == {"train"}
@@ -185,6 +203,24 @@ def test_auc_with_ties_and_monotone_transforms(spark):
     assert metrics.roc_auc(stretched).first()["value"] == pytest.approx(want)
 
 
+def test_auc_of_scores_of_all_sizes(spark):
+    rng = np.random.default_rng(8)
+    score = np.concatenate([
+        rng.normal(size=400), rng.normal(size=400) * 10.0 ** rng.integers(-320, 300, 400),
+        0.5 + rng.integers(0, 40, 400) * 2.0 ** -52, [0.0, -0.0, 5e-324, -5e-324, np.inf, -np.inf] * 9])
+    label = rng.integers(0, 2, len(score))
+    pos, neg = score[label == 1][:, None], score[label == 0][None]
+    want = ((pos > neg) + 0.5 * (pos == neg)).mean()
+    df = frame(spark, score=score, label=label)
+    assert metrics.roc_auc(df).first()["value"] == pytest.approx(want, abs=1e-15)
+    extra = spark.createDataFrame([(None, 1), (0.5, None), (None, None)], "score double, label long")
+    assert metrics.roc_auc(df.unionByName(extra)).first()["value"] == pytest.approx(want, abs=1e-15)
+    nan = spark.createDataFrame([(float("nan"), 1), (float("inf"), 0)], "score double, label long")
+    assert metrics.roc_auc(nan).first()["value"] == 1
+    for single in (df.where("label = 1"), df.limit(0)):
+        assert [tuple(r) for r in metrics.roc_auc(single).collect()] == [("roc_auc", None)]
+
+
 def test_report_with_a_class_never_predicted(spark):
     df = scored(spark, [0.1, 0.2, 0.3, 0.4], [0, 0, 1, 1])
     report = {r["class"]: r for r in metrics.classification_report(df).collect()}
@@ -215,6 +251,35 @@ def test_shapley_values_add_up(spark):
         explain.shapley_values(product, df, ["x"] * 11, background, "key")
 
 
+def test_shapley_values_by_definition(spark):
+    """Rows that repeat, a background that repeats, and a NULL, against all coalitions."""
+    rows = [("a", 1.0, 2.0, 0.0), ("b", 1.0, 2.0, 0.0), ("c", -1.0, None, 3.0), ("d", 0.5, 4.0, 3.0)]
+    ground = [(0.0, 1.0, 1.0), (0.0, 1.0, 1.0), (2.0, 1.0, 5.0), (3.0, 0.0, 1.0)]
+    cols = ["x", "y", "z"]
+
+    def score(x, y, z):
+        return x * (0 if y is None else y) + max(x, z) - 2 * z
+
+    def score_fn(df):
+        x, y, z = (F.col(c) for c in cols)
+        return df.withColumn("score", x * F.coalesce(y, F.lit(0.0)) + F.greatest(x, z) - 2 * z)
+
+    df = spark.createDataFrame(rows, "key string, x double, y double, z double")
+    background = spark.createDataFrame(ground, "x double, y double, z double")
+    got = {(r["key"], r["feature"]): r["value"] for r in explain.shapley_values(
+        score_fn, df, cols, background, "key").collect()}
+
+    def kept(row, subset):
+        return np.mean([score(*[row[i] if i in subset else b[i] for i in range(3)]) for b in ground])
+
+    for name, *row in rows:
+        for i, col in enumerate(cols):
+            want = np.mean([kept(row, set(p[:p.index(i)]) | {i}) - kept(row, set(p[:p.index(i)]))
+                            for p in itertools.permutations(range(3))])
+            assert got[name, col] == pytest.approx(want)
+    assert len(got) == 12
+
+
 def test_pca_matches_numpy(spark):
     df = labelled(spark, 200, 0.5).withColumn("z", 2 * F.col("x") - F.col("y") + 5)
     data = df.select("key", "x", "y", "z").toPandas().set_index("key")
