@@ -215,12 +215,6 @@ def _explain_risky(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  "line_id")
 
 
-def _return_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mean size of the trained model's attributions over the whole test side."""
-    return _once(spark, sf_dir, "return-explained", lambda: jobs.explain_returns(
-        _return_model(spark, sf_dir)))["importance"]
-
-
 def _reorder_model(spark: SparkSession, sf_dir: str, variant: str = "smote") -> jobs.Trained:
     return _once(spark, sf_dir, f"reorder-{variant}", lambda: jobs.train_reorder(
         _tables(spark, sf_dir), jobs.ReorderConfig(variant=variant)))
@@ -321,7 +315,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "return_metrics": lambda s, d: _return_model(s, d).metrics,
         "score_requests": _score_requests,
         "explain_risky": _explain_risky,
-        "return_importance": _return_importance,
         "reorder_scores": _reorder_scores,
         "reorder_plain_scores": lambda s, d: _reorder_scores(s, d, "plain"),
         "reorder_metrics": lambda s, d: _reorder_model(s, d).metrics,
