@@ -124,9 +124,10 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count("*").alias("n"))
 
 
-def smote_neighbors(df: DataFrame, cols: Sequence[str], key: str, k: int = 5) -> DataFrame:
+def smote_neighbors(df: DataFrame, cols: Sequence[str], key: str, k: int = 5,
+                    leaf_sites: int | None = None) -> DataFrame:
     """The k nearest other rows of every row: key, neighbour_key, rank, distance."""
-    lists = neighbour_lists(df, cols, key, k)
+    lists = neighbour_lists(df, cols, key, k, leaf_sites)
     return lists.select(key, F.posexplode("neighbours").alias("_pos", "_n")).select(
         key, F.col("_n.key").alias("neighbour_key"), (F.col("_pos") + 1).alias("rank"),
         F.col("_n.distance").alias("distance"))

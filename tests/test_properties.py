@@ -138,10 +138,12 @@ def brute_neighbours(x, keys, k):
     return found
 
 
+@pytest.mark.parametrize("cells", [1, 3, 256])
 @pytest.mark.parametrize("kind", ["smooth", "ties", "copies"])
-def test_neighbours_equal_brute_force(spark, monkeypatch, kind):
-    """Small leaves and groups, so that the search crosses leaves and splits hot ones."""
+def test_neighbours_equal_brute_force(spark, monkeypatch, kind, cells):
+    """Small leaves and groups, so that the search crosses cells and leaves and splits hot ones."""
     monkeypatch.setattr(neighbors, "LEAF_SITES", 40)
+    monkeypatch.setattr(neighbors, "CELLS", cells)
     monkeypatch.setattr(neighbors, "SAMPLES_PER_LEAF", 8)
     monkeypatch.setattr(neighbors, "QUERIES_PER_GROUP", 50)
     rng = np.random.default_rng(5)
@@ -159,6 +161,25 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, kind):
     assert got == brute_neighbours(x, keys, 5)
 
 
+def test_sites_of_one_cell_get_many_leaves(spark, monkeypatch):
+    """The leaves that tasks cut aren't limited by the cells the driver cuts."""
+    monkeypatch.setattr(neighbors, "CELLS", 2)
+    x = np.random.default_rng(6).normal(size=(4_000, 2))
+    df = frame(spark, key=[f"k{i}" for i in range(len(x))], a=x[:, 0], b=x[:, 1])
+    placed = neighbors._placed(neighbors._sites(df, ["a", "b"], "key", 5), 2, 50)
+    sizes = [r["count"] for r in placed.groupBy("leaf").count().collect()]
+    assert placed.select("cell").distinct().count() == 2
+    assert sum(sizes) == len(x) and len(sizes) > 40 and max(sizes) < 400
+
+
+@pytest.mark.parametrize("n", [0, 1, 2])
+def test_neighbours_of_few_rows(spark, n):
+    df = frame(spark, key=["a", "b"], x=[1.0, 2.0]).limit(n)
+    got = {r["key"]: [o["key"] for o in r["neighbours"]] for r in
+           neighbors.neighbour_lists(df, ["x"], "key").collect()}
+    assert got == [{}, {"a": []}, {"a": ["b"], "b": ["a"]}][n]
+
+
 def test_smote_rows(spark):
     df = labelled(spark, 800, 0.06)
     out = sampling.smote(df, ["x", "y"], "label", "key", ratio=0.5).cache()
