@@ -6,6 +6,7 @@ import importlib.util
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -236,6 +237,24 @@ def _recommender(spark: SparkSession, sf_dir: str) -> jobs.Recommender:
     return _once(spark, sf_dir, "recommender", lambda: jobs.train_recommender(_tables(spark, sf_dir)))
 
 
+def _eda_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All exploratory tables of one job in long form: report, item, measure, value."""
+    report = jobs.eda_report(_lines(spark, sf_dir))
+    parts = []
+    for name, (item, measures) in oracles.REPORTS.items():
+        cells = F.array(*[F.struct(F.lit(m).alias("measure"), _report_value(m).alias("value"))
+                          for m in measures])
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in item])
+        parts.append(report[name].select(F.lit(name).alias("report"), key.alias("item"),
+                                         F.inline(cells)))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _report_value(measure: str) -> F.Column:
+    value = F.col(measure).cast("double")
+    return F.round(value, 4) if measure in oracles.ROUNDED else value
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Return-risk lines on the smallest test data."""
     return queries()["return_lines"](spark, "/root/testdata/sf0.001")
@@ -280,6 +299,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "describe_numeric": lambda s, d: quality.describe_numeric(_lines(s, d), LINE_FEATURES),
         "boxplot_stats": lambda s, d: quality.boxplot_stats(_lines(s, d), LINE_FEATURES),
         "discount_spend_bins": lambda s, d: quality.discount_spend_bins(_lines(s, d)),
+        "eda_report": _eda_report,
         "pair_bins": lambda s, d: quality.pair_bins(_features(s, d), numeric),
         "stratified_split": lambda s, d: sampling.stratified_split(
             _lines(s, d), "is_returned", "line_id"),
@@ -289,7 +309,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_roundtrip": _split_roundtrip,
         "class_weights": lambda s, d: sampling.class_weights(_lines(s, d), "is_returned"),
         "smote_neighbors": lambda s, d: sampling.smote_neighbors(
-            _lines(s, d).where("is_returned = 1"), LINE_FEATURES, "line_id"),
+            _lines(s, d).where("is_returned = 1"), LINE_FEATURES, "line_id", leaf_sites=250),
         "resampled_counts": lambda s, d: sampling.class_counts(_smote(s, d), "is_returned"),
         "score_threshold": lambda s, d: metrics.score_threshold(
             _closed_form_lines(s, d).withColumnRenamed("score", "probability"), 0.5,

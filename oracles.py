@@ -298,6 +298,7 @@ COLUMNS: dict[str, dict[str, str]] = {
     "boxplot_stats": {"column": "s", "q1": "d", "median": "d", "q3": "d", "whisker_low": "d",
                       "whisker_high": "d", "n_fliers": "i"},
     "discount_spend_bins": {"discount_bin": "i", "spend_bin": "i", "is_returned": "i", "n": "i"},
+    "eda_report": {"report": "s", "item": "s", "measure": "s", "value": "d"},
     "pair_bins": {"col_x": "s", "col_y": "s", "bin_x": "i", "bin_y": "i", "n": "i"},
     "stratified_split": {"line_id": "s", "split": "s"},
     "validation_split": {"line_id": "s", "is_validation": "i"},
@@ -463,6 +464,41 @@ UNION ALL SELECT 0, 0, tn FROM counts""",
 FROM attributions GROUP BY feature""",
 }
 
+# The exploratory report in long form: of each table the columns that name a row, and its numbers.
+REPORTS: dict[str, tuple[list[str], list[str]]] = {
+    "preview": (["line_id"], ["order_id", "product_id", "quantity", "unit_price", "discount",
+                              "net_spent", "is_returned"]),
+    "profile": (["column", "type"], ["n_rows", "n_null"]),
+    "describe": (["column"], ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+    "outliers": (["column"], ["n_outliers", "pct_outliers", "lower", "upper"]),
+    "boxplots": (["column"], ["q1", "median", "q3", "whisker_low", "whisker_high", "n_fliers"]),
+    "status_counts": (["is_returned"], ["n"]),
+    "discount_spend": (["discount_bin", "spend_bin", "is_returned"], ["n"]),
+    "top_products": (["product_name"], ["n"]),
+}
+ROUNDED = ["mean", "std", "pct_outliers"]
+
+
+def _report() -> str:
+    bodies = {"preview": "table_preview", "profile": "table_profile",
+              "describe": "describe_numeric", "outliers": "outlier_report",
+              "boxplots": "boxplot_stats", "status_counts": "return_status_counts",
+              "discount_spend": "discount_spend_bins", "top_products": "top_products"}
+    tables = [f"{name}_rows AS ({BODIES[key].removeprefix(f'WITH {LINES} ')})"
+              for name, key in bodies.items()]
+    rows = []
+    for name, (item, measures) in REPORTS.items():
+        key = ", ".join(f'CAST("{c}" AS VARCHAR)' for c in item)
+        for m in measures:
+            value = f'CAST("{m}" AS DOUBLE)'
+            value = f"round({value}, 4)" if m in ROUNDED else value
+            rows.append(f"SELECT '{name}' AS report, concat_ws('/', {key}) AS item,"
+                        f" '{m}' AS measure, {value} AS value FROM {name}_rows")
+    return f"WITH {LINES}, " + ", ".join(tables) + " " + " UNION ALL ".join(rows)
+
+
+BODIES["eda_report"] = _report()
+
 CASTS = {"i": "CAST({c} AS BIGINT)", "d": "CAST({c} AS DOUBLE) + 0.0::DOUBLE",
          "r4": "ROUND(CAST({c} AS DOUBLE), 4) + 0.0::DOUBLE",
          "r6": "ROUND(CAST({c} AS DOUBLE), 6) + 0.0::DOUBLE",

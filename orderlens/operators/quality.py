@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations
 from math import floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.measures import flag
@@ -121,12 +121,77 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFra
 def discount_spend_bins(lines: DataFrame, discount_step: float = 0.01,
                         spend_step: float = 1000) -> DataFrame:
     """Lines per label in cells of discount and net spend: the content of their scatter plot."""
+    return lines.groupBy(*discount_spend_cells(discount_step, spend_step),
+                         "is_returned").agg(F.count("*").alias("n"))
+
+
+def discount_spend_cells(discount_step: float = 0.01, spend_step: float = 1000) -> list[Column]:
+    """discount_bin and spend_bin of a line."""
     def cell(col: str, step: float):
         return F.floor(F.col(col).cast("decimal(18,4)") / F.lit(str(step)).cast("decimal(10,4)"))
 
-    return lines.groupBy(cell("discount", discount_step).cast("bigint").alias("discount_bin"),
-                         cell("net_spent", spend_step).cast("bigint").alias("spend_bin"),
-                         "is_returned").agg(F.count("*").alias("n"))
+    return [cell("discount", discount_step).cast("bigint").alias("discount_bin"),
+            cell("net_spent", spend_step).cast("bigint").alias("spend_bin")]
+
+
+def observed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
+    """``df`` as a work table, and what was counted while it was written: ``n_rows``, ``null_<c>``
+    of every column, and ``count_``, ``mean_``, ``std_``, ``min_`` and ``max_<c>`` of ``cols`` as
+    doubles. The write is one stage's last step, where Spark takes each task's counts once."""
+    seen = Observation()
+    wanted = [F.count(F.lit(1)).alias("n_rows")]
+    wanted += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
+    for c in cols:
+        value = F.col(c).cast("double")
+        wanted += [F.count(value).alias(f"count_{c}"), F.avg(value).alias(f"mean_{c}"),
+                   F.stddev_samp(value).alias(f"std_{c}"), F.min(value).alias(f"min_{c}"),
+                   F.max(value).alias(f"max_{c}")]
+    rows = materialize(df.observe(seen, *wanted), "observed-rows")
+    return rows, seen.get
+
+
+def observed_profile(rows: DataFrame, seen: dict) -> DataFrame:
+    """:func:`table_profile` of an observed table."""
+    return rows.sparkSession.createDataFrame(
+        [(c, t, seen["n_rows"], seen[f"null_{c}"]) for c, t in rows.dtypes],
+        "column string, type string, n_rows long, n_null long")
+
+
+def observed_moments(rows: DataFrame, cols: Sequence[str], seen: dict) -> DataFrame:
+    """Count, mean, sample standard deviation, minimum and maximum of an observed table's columns
+    that hold a value."""
+    measures = ["count", "mean", "std", "min", "max"]
+    return rows.sparkSession.createDataFrame(
+        [(c, *[seen[f"{m}_{c}"] for m in measures]) for c in cols if seen[f"count_{c}"]],
+        "column string, count long, mean double, std double, min double, max double")
+
+
+def quartiles(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """column, q25, q50, q75."""
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
+    return quantile_table(numbers, cols, [0.25, 0.5, 0.75], ["q25", "q50", "q75"])
+
+
+def spread_report(df: DataFrame, quartiles: DataFrame, k: float = 1.5) -> DataFrame:
+    """``quartiles`` + lower, upper, n_outliers, pct_outliers, whisker_low, whisker_high: what
+    outlier report and box plot show, from one pass. The bounds (one row per column, read here)
+    are literals in it."""
+    known = [(r["column"], r["q25"], r["q50"], r["q75"]) for r in quartiles.collect()]
+    wanted, bounds = [F.count(F.lit(1)).alias("n_rows")], []
+    for i, (c, q1, _, q3) in enumerate(known):
+        low, high = q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
+        value = F.col(c).cast("double")
+        inside = value.between(low, high)
+        bounds.append((low, high))
+        wanted += [F.count_if(~inside).alias(f"out_{i}"),
+                   F.min(F.when(inside, value)).alias(f"low_{i}"),
+                   F.max(F.when(inside, value)).alias(f"high_{i}")]
+    found = df.agg(*wanted).first()
+    return df.sparkSession.createDataFrame(
+        [(*row, *bounds[i], found[f"out_{i}"], found[f"out_{i}"] * 100.0 / found["n_rows"],
+          found[f"low_{i}"], found[f"high_{i}"]) for i, row in enumerate(known)],
+        "column string, q25 double, q50 double, q75 double, lower double, upper double,"
+        " n_outliers long, pct_outliers double, whisker_low double, whisker_high double")
 
 
 def pair_bins(df: DataFrame, cols: Sequence[str], n_bins: int = 20) -> DataFrame:

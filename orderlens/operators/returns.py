@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import exact_avg, net_amount, rule_return_flag
+from ..sources.store import materialize
 from ..sources.tables import Tables
+from .quality import discount_spend_cells
 
 RETURN_FEATURES = ["quantity", "unit_price", "discount", "net_spent",
                    "avg_discount_by_product", "avg_net_spent_by_product"]
@@ -67,6 +69,27 @@ def top_returned_products(lines: DataFrame, n: int = 5) -> DataFrame:
     return top_products(lines.where("is_returned = 1"), n)
 
 
+def line_counts(lines: DataFrame, n: int = 10) -> dict[str, DataFrame]:
+    """Lines per status, per cell of discount, spend and status, and of the ``n`` most frequent
+    products: one pass by grouping sets, kept as a work table of one row per group."""
+    keys = ["discount_bin", "spend_bin", "is_returned", "product_name"]
+    cells = lines.select(*discount_spend_cells(), "is_returned", "product_name")
+    # Bits of the set's number: the keys left out, first key highest.
+    sets = {"status_counts": ["is_returned"], "discount_spend": keys[:3],
+            "top_products": ["product_name"]}
+    counted = materialize(
+        cells.groupingSets([[F.col(c) for c in s] for s in sets.values()], *keys).agg(
+            F.count("*").alias("n"), F.grouping_id().cast("int").alias("level")), "line-counts")
+
+    def of(name: str) -> DataFrame:
+        level = sum(8 >> i for i, c in enumerate(keys) if c not in sets[name])
+        return counted.where(F.col("level") == level).select(*sets[name], "n")
+
+    tables = {name: of(name) for name in sets}
+    tables["top_products"] = tables["top_products"].orderBy(F.desc("n"), "product_name").limit(n)
+    return tables
+
+
 def return_summary(lines: DataFrame) -> DataFrame:
     """Lines, returned lines, their share in percent, also as text."""
     rate = F.round((F.col("return_count") * 100).cast("decimal(28,6)")

@@ -259,16 +259,27 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
 
 
 def eda_report(lines: DataFrame) -> dict[str, DataFrame]:
-    """The exploratory tables of return lines, by name."""
+    """The exploratory tables of return lines, by name.
+
+    The plan behind ``lines`` runs once, into a work table; rows, NULLs and moments of its columns
+    are observed on the way. The quartiles are found once for all tables that need them, all counts
+    per group come from one pass by grouping sets, and all outlier counts from one more.
+    """
     cols = ["net_spent", "quantity", "discount", "unit_price",
             "avg_discount_by_product", "avg_net_spent_by_product"]
+    rows, observed = quality.observed(lines, cols)
+    quartiles = quality.quartiles(rows, cols)
+    spread = quality.spread_report(rows, quartiles)
+    counts = returns.line_counts(rows)
     return {
-        "preview": quality.table_preview(lines, ["order_id", "product_id", "line_id"]),
-        "profile": quality.table_profile(lines),
-        "describe": quality.describe_numeric(lines, cols),
-        "outliers": quality.outlier_report(lines, cols),
-        "boxplots": quality.boxplot_stats(lines, cols),
-        "status_counts": returns.return_status_counts(lines),
-        "discount_spend": quality.discount_spend_bins(lines),
-        "top_products": returns.top_products(lines),
+        "preview": quality.table_preview(rows, ["order_id", "product_id", "line_id"]),
+        "profile": quality.observed_profile(rows, observed),
+        "describe": quality.observed_moments(rows, cols, observed).join(
+            quartiles, "column").select(
+            "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"),
+        "outliers": spread.select("column", "n_outliers", "pct_outliers", "lower", "upper"),
+        "boxplots": spread.select("column", F.col("q25").alias("q1"), F.col("q50").alias("median"),
+                                  F.col("q75").alias("q3"), "whisker_low", "whisker_high",
+                                  F.col("n_outliers").alias("n_fliers")),
+        **counts,
     }

@@ -155,3 +155,42 @@ def test_eda_report_runs(tables):
     assert {name: df.count() for name, df in report.items()} == {
         "preview": 5, "profile": 12, "describe": 6, "outliers": 6, "boxplots": 6,
         "status_counts": 2, "discount_spend": 4, "top_products": 3}
+
+
+def test_eda_report_reads_its_lines_once(spark, tables):
+    """Rows that pass a counting function on the way, after all tables were made and read."""
+    passed = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            passed.add(len(batch))
+            yield batch
+
+    lines = returns.return_lines(tables)
+    report = jobs.eda_report(lines.mapInPandas(counting, lines.schema))
+    for df in report.values():
+        df.collect()
+    assert passed.value == lines.count() > 0
+
+
+def test_eda_report_equals_its_parts(tables):
+    lines = returns.return_lines(tables)
+    report = jobs.eda_report(lines)
+    cols = ["net_spent", "quantity", "discount", "unit_price",
+            "avg_discount_by_product", "avg_net_spent_by_product"]
+    parts = {"profile": quality.table_profile(lines),
+             "outliers": quality.outlier_report(lines, cols),
+             "boxplots": quality.boxplot_stats(lines, cols),
+             "status_counts": returns.return_status_counts(lines),
+             "discount_spend": quality.discount_spend_bins(lines),
+             "top_products": returns.top_products(lines)}
+    for name, part in parts.items():
+        assert sorted(map(str, report[name].collect())) == sorted(map(str, part.collect())), name
+
+
+@pytest.mark.parametrize("kept", [0, 1])
+def test_eda_report_of_few_lines(tables, kept):
+    report = jobs.eda_report(returns.return_lines(tables).limit(kept))
+    assert [r["n_rows"] for r in report["profile"].collect()] == [kept] * 12
+    assert report["describe"].count() == report["boxplots"].count() == 6 * kept
+    assert report["top_products"].count() == report["status_counts"].count() == kept
