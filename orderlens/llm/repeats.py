@@ -3,7 +3,8 @@
 Equal strings of ``length`` bytes hold the same anchor, the k-gram with the smallest hash among
 theirs, so a shuffle by anchor brings all of them together. An anchor's surroundings (the strings
 whose anchor it is, in one piece) are compared by hash first: where they equal earlier ones, all
-their strings are repeats. Different surroundings of one anchor may still share some strings: for
+their strings are repeats. Each slice of texts finds those among its own before the shuffle, so of
+a passage that very many texts share only one row per slice meets the others. Different surroundings of one anchor may still share some strings: for
 these a Burrows-Wheeler transform is built, and common prefixes are derived from it in order of
 increasing value, by backward extension of the suffix intervals, up to ``length``; suffixes that
 are then still in one interval start with the same string.
@@ -72,16 +73,36 @@ def surroundings(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     return owner, first - offsets[owner], last - first + 1, hashes[anchor], whole
 
 
+def _repeated_here(anchor: np.ndarray, whole: np.ndarray, valid: np.ndarray, docs: np.ndarray,
+                   start: np.ndarray) -> np.ndarray:
+    """Which rows have an earlier one of the same anchor and surroundings among these rows; no
+    doc_id (not ``valid``) comes first."""
+    order = np.lexsort((start, docs, valid, whole, anchor))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(anchor[order]) != 0) | (np.diff(whole[order]) != 0)
+    head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    known = np.zeros(len(order), bool)
+    known[order] = ((valid[order] != valid[head]) | (docs[order] != docs[head])
+                    | (start[order] != start[head]))
+    return known
+
+
 def _anchor_rows(batches: Iterator[pa.RecordBatch], length: int,
                  gram: int) -> Iterator[pa.RecordBatch]:
     for part in slices(batches):
         data, offsets = utf8(part.column("text"))
         owner, start, count, anchor, whole = surroundings(data, offsets, length, gram)
+        doc_id, row = (part.column(c).take(pa.array(owner)) for c in ("doc_id", "row"))
+        docs = doc_id.fill_null(0).to_numpy(zero_copy_only=False)
+        known = _repeated_here(anchor, whole, doc_id.is_valid().to_numpy(zero_copy_only=False),
+                               docs, start)
+        # What is known to be a repeat needn't meet the others: it goes to any task.
+        text = row.to_numpy(zero_copy_only=False).view(np.uint64)
+        spread = mix(text ^ mix(docs.view(np.uint64) ^ mix(start)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64)),
-             part.column("doc_id").take(pa.array(owner)), part.column("row").take(pa.array(owner)),
-             pa.array(start), pa.array(count)],
-            ["anchor", "whole", "doc_id", "row", "start", "strings"])
+            [pa.array(known), pa.array(np.where(known, spread, anchor).view(np.int64)),
+             pa.array(whole.view(np.int64)), doc_id, row, pa.array(start), pa.array(count)],
+            ["known", "anchor", "whole", "doc_id", "row", "start", "strings"])
 
 
 def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -170,7 +191,9 @@ def _match(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Record
     """Spans that repeats cover, from surroundings that come in order of their anchors."""
     def spans(rows: list[tuple]) -> pa.RecordBatch:
         sizes = np.array([len(r[3]) for r in rows])
-        docs = np.array([-2**63 if r[1] is None else r[1] for r in rows], np.int64)
+        ids = sorted({r[1] for r in rows}, key=lambda i: (i is not None, i or 0))
+        place = {i: k for k, i in enumerate(ids)}        # no doc_id comes first
+        docs = np.array([place[r[1]] for r in rows], np.int64)
         starts = np.array([r[2] for r in rows], np.int64)
         first = np.concatenate([[0], np.cumsum(sizes)])
         within = np.arange(first[-1]) - np.repeat(first[:-1], sizes)
@@ -257,14 +280,14 @@ def repeated_spans(docs: DataFrame, length: int = 100, gram: int = GRAM) -> Data
     tells apart rows of one doc_id."""
     anchors = docs.mapInArrow(
         lambda it: _anchor_rows(it, length, gram),
-        "anchor long, whole long, doc_id long, row long, start long, strings long")
-    same = Window.partitionBy("anchor", "whole").orderBy("doc_id", "start")
-    around = Window.partitionBy("anchor")
+        "known boolean, anchor long, whole long, doc_id long, row long, start long, strings long")
+    same = Window.partitionBy("known", "anchor", "whole").orderBy("doc_id", "start")
+    around = Window.partitionBy("known", "anchor")
     marks = anchors.select("*", F.first("doc_id").over(same).alias("first_doc"),
                            F.first("start").over(same).alias("first_start"))
     marks = marks.select(
         "anchor", "doc_id", "row", "start", "strings",
-        (F.col("first_doc").eqNullSafe(F.col("doc_id"))
+        (~F.col("known") & F.col("first_doc").eqNullSafe(F.col("doc_id"))
          & (F.col("first_start") == F.col("start"))).alias("first"),
         (F.min("whole").over(around) != F.max("whole").over(around)).alias("varied"))
     marks = written(marks.where("NOT first OR varied"), "marks")

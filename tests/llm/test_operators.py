@@ -62,8 +62,8 @@ def ordered(rows):
     return sorted(map(repr, rows))
 
 
-def test_repeats(docs, empty):
-    rows = sorted(texts(), key=lambda r: (r[0] is not None, r[0] or 0))
+def brute_repeats(rows):
+    """doc_id, bytes, removed bytes, removed runs and hash of the rest of every row."""
     starts = {}
     for i, text in rows:
         data = (text or "").encode()
@@ -80,13 +80,44 @@ def test_repeats(docs, empty):
         kept = bytes(b for b, g in zip(data, gone) if not g)
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         want.append((i, len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
-    got = repeats.remove_repeats(docs).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256))
-    assert ordered(map(tuple, got.collect())) == ordered(want)
+    return want
+
+
+def repeat_digests(docs):
+    return map(tuple, repeats.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect())
+
+
+def test_repeats(docs, empty):
+    want = brute_repeats(texts())
+    assert ordered(repeat_digests(docs)) == ordered(want)
     assert sum(w[2] for w in want) > 0
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def test_repeats_of_many_copies(spark):
+    """A passage of a third of all rows, in falling, negative and missing doc_ids, next to and far
+    from each other, alone and within other text."""
+    rng = random.Random(8)
+    passage = sentence(rng, 60)
+    rows = [(150 - k, passage if k % 9 == 0 else f"{sentence(rng, k % 7)} {passage} {k % 5}"
+             if k % 3 == 0 else sentence(rng, 25)) for k in range(300)]
+    rows += [(None, passage), (-2**63, passage), (None, "x " + passage), (-2**63, passage + passage)]
+    want = [(None if i == -2**64 else i, *rest) for i, *rest in brute_repeats(
+        [(-2**64 if i is None else i, t) for i, t in rows])]
+    assert ordered(repeat_digests(frame(spark, rows))) == ordered(want)
+
+
+def test_known_repeats_leave_the_first_row():
+    """Of each group the smallest (doc_id, start) stays, equal ones too; no doc_id comes first."""
+    a = np.array([7, 7, 7, 7, 5, 7, 7], np.uint64)
+    w = np.array([1, 1, 1, 2, 1, 1, 2], np.uint64)
+    known = repeats._repeated_here(a, w, np.array([True, True, False, True, True, False, True]),
+                                   np.array([3, -4, 0, 9, 3, 0, 9]), np.array([0, 0, 6, 1, 0, 6, 0]))
+    assert known.tolist() == [True, True, False, True, False, False, False]
+    assert repeats._repeated_here(*[x[:0] for x in (a, w, a > 0, a, a)]).tolist() == []
+
+
 def test_mixing(docs, empty):
     got = mixing.mix_sources(docs).toPandas()
     again = mixing.mix_sources(docs).toPandas()
