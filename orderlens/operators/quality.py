@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from itertools import combinations
 from math import floor
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import flag
@@ -134,11 +134,12 @@ def discount_spend_cells(discount_step: float = 0.01, spend_step: float = 1000)
             cell("net_spent", spend_step).cast("bigint").alias("spend_bin")]
 
 
-def observed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
-    """``df`` as a work table, and what was counted while it was written: ``n_rows``, ``null_<c>``
-    of every column, and ``count_``, ``mean_``, ``std_``, ``min_`` and ``max_<c>`` of ``cols`` as
-    doubles. The write is one stage's last step, where Spark takes each task's counts once."""
-    seen = Observation()
+def counted(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
+    """``df`` as a work table, and one row of aggregates over it: ``n_rows``, ``null_<c>`` of every
+    column, and ``count_``, ``mean_``, ``std_``, ``min_`` and ``max_<c>`` of ``cols`` as doubles.
+
+    An aggregate, not observed metrics: once a session has observed any, Spark can't ship task
+    code that holds the session, as Spark ML's does."""
     wanted = [F.count(F.lit(1)).alias("n_rows")]
     wanted += [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in df.columns]
     for c in cols:
@@ -146,19 +147,19 @@ def observed(df: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, dict]:
         wanted += [F.count(value).alias(f"count_{c}"), F.avg(value).alias(f"mean_{c}"),
                    F.stddev_samp(value).alias(f"std_{c}"), F.min(value).alias(f"min_{c}"),
                    F.max(value).alias(f"max_{c}")]
-    rows = materialize(df.observe(seen, *wanted), "observed-rows")
-    return rows, seen.get
+    rows = materialize(df, "report-rows")
+    return rows, rows.agg(*wanted).first().asDict()
 
 
-def observed_profile(rows: DataFrame, seen: dict) -> DataFrame:
-    """:func:`table_profile` of an observed table."""
+def counted_profile(rows: DataFrame, seen: dict) -> DataFrame:
+    """:func:`table_profile` of a counted table."""
     return rows.sparkSession.createDataFrame(
         [(c, t, seen["n_rows"], seen[f"null_{c}"]) for c, t in rows.dtypes],
         "column string, type string, n_rows long, n_null long")
 
 
-def observed_moments(rows: DataFrame, cols: Sequence[str], seen: dict) -> DataFrame:
-    """Count, mean, sample standard deviation, minimum and maximum of an observed table's columns
+def counted_moments(rows: DataFrame, cols: Sequence[str], seen: dict) -> DataFrame:
+    """Count, mean, sample standard deviation, minimum and maximum of a counted table's columns
     that hold a value."""
     measures = ["count", "mean", "std", "min", "max"]
     return rows.sparkSession.createDataFrame(

@@ -261,20 +261,20 @@ def train_recommender(tables: Tables, cfg: RecommendConfig = RecommendConfig(),
 def eda_report(lines: DataFrame) -> dict[str, DataFrame]:
     """The exploratory tables of return lines, by name.
 
-    The plan behind ``lines`` runs once, into a work table; rows, NULLs and moments of its columns
-    are observed on the way. The quartiles are found once for all tables that need them, all counts
-    per group come from one pass by grouping sets, and all outlier counts from one more.
+    The plan behind ``lines`` runs once, into a work table. One pass over that gives rows, NULLs and
+    moments of all columns, one pass by grouping sets all counts per group, and one all outlier
+    counts; the quartiles are found once for the tables that need them.
     """
     cols = ["net_spent", "quantity", "discount", "unit_price",
             "avg_discount_by_product", "avg_net_spent_by_product"]
-    rows, observed = quality.observed(lines, cols)
+    rows, found = quality.counted(lines, cols)
     quartiles = quality.quartiles(rows, cols)
     spread = quality.spread_report(rows, quartiles)
     counts = returns.line_counts(rows)
     return {
         "preview": quality.table_preview(rows, ["order_id", "product_id", "line_id"]),
-        "profile": quality.observed_profile(rows, observed),
-        "describe": quality.observed_moments(rows, cols, observed).join(
+        "profile": quality.counted_profile(rows, found),
+        "describe": quality.counted_moments(rows, cols, found).join(
             quartiles, "column").select(
             "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"),
         "outliers": spread.select("column", "n_outliers", "pct_outliers", "lower", "upper"),
