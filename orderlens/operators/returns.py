@@ -42,9 +42,10 @@ def return_lines(tables: Tables, discount_min: float = 0.2, net_max: float = 200
     # One join on product_id instead of two: the averages ride on the product row.
     catalogue = tables["products"].select("product_id", "product_name").join(
         product_stats(lines), "product_id")
-    sold = lines.where("quantity > 0").withColumn("net_spent", net_amount())
-    result = (sold.join(catalogue, "product_id")
-              .join(tables["orders"].select("order_id", "customer_id"), "order_id")
+    # Lines meet orders first and products last: what a product brings is never shuffled per line.
+    sold = lines.where("quantity > 0").join(
+        tables["orders"].select("order_id", "customer_id"), "order_id")
+    result = (sold.join(catalogue, "product_id").withColumn("net_spent", net_amount())
               .select("line_id", "order_id", "customer_id", "product_id", "product_name",
                       "quantity", "unit_price", "discount", "net_spent",
                       "avg_discount_by_product", "avg_net_spent_by_product",
