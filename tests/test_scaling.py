@@ -1,8 +1,36 @@
 """Work that grows no faster than the input: plans that run once, shared sketches, bounded groups."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from orderlens.operators import returns
+from orderlens.operators import returns, sampling
+
+
+def counted_rows(spark, n=400):
+    """Rows behind a plan that counts how many of them it made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(len(batch))
+            yield batch
+
+    plain = spark.range(n, numPartitions=2).select(
+        F.col("id").cast("string").alias("key"), (F.col("id") % 4 == 0).cast("int").alias("label"),
+        (F.col("id") * 37 % 101).cast("double").alias("x"), F.col("id").cast("double").alias("y"))
+    return plain.mapInPandas(count, plain.schema), made
+
+
+@pytest.mark.parametrize("job", [
+    lambda df: sampling.stratified_split(df, "label", "key"),
+    lambda df: sampling.validation_split(df, "label", "key", 0.25),
+    lambda df: sampling.class_weights(df, "label"),
+    lambda df: sampling.standard_scale(df, ["x", "y"])[0],
+    lambda df: sampling.smote(df, ["x", "y"], "label", "key", 0.5)])
+def test_the_plan_behind_the_rows_runs_once(spark, job):
+    df, made = counted_rows(spark)
+    assert job(df).count() >= 400
+    assert made.value == 400
 
 
 def test_products_are_joined_after_orders(spark):
