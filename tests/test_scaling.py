@@ -1,9 +1,11 @@
 """Work that grows no faster than the input: plans that run once, shared sketches, bounded groups."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orderlens.operators import returns, sampling
+from orderlens.functions import quantiles
+from orderlens.operators import quality, returns, sampling
 
 
 def counted_rows(spark, n=400):
@@ -52,3 +54,35 @@ def test_products_are_joined_after_orders(spark):
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     assert "product_id" in joins[0] and "order_id" in joins[1]
+
+
+def test_ranks_of_a_column_share_the_first_sketch(spark, monkeypatch):
+    seen, plain = [], quantiles._aggregates
+
+    def spy(df, wanted):
+        seen.append([str(c) for c in wanted])
+        return plain(df, wanted)
+
+    monkeypatch.setattr(quantiles, "_aggregates", spy)
+    values = np.random.default_rng(3).normal(size=5_000)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    row = quantiles.quantile_table(df, ["x"], [0.25, 0.5, 0.75], ["a", "b", "c"], 100).first()
+    assert [row["a"], row["b"], row["c"]] == pytest.approx(
+        np.quantile(values, [0.25, 0.5, 0.75]).tolist(), abs=0)
+    assert sum("percentile_approx" in c for c in seen[1]) == 1
+
+
+def test_box_plot_and_report_read_only_columns_with_values(spark):
+    df = spark.createDataFrame([(1.0, None, 1.0), (2.0, None, None), (3.0, None, 2.0),
+                                (90.0, None, 3.0), (None, None, None)],
+                               "x double, none double, z double")
+    box = {r["column"]: r for r in quality.boxplot_stats(df, ["x", "none", "z"]).collect()}
+    assert set(box) == {"x", "z"}
+    assert (box["x"]["q1"], box["x"]["median"], box["x"]["q3"]) == (1.75, 2.5, 24.75)
+    assert (box["x"]["whisker_low"], box["x"]["whisker_high"], box["x"]["n_fliers"]) == (1, 3, 1)
+    told = {r["column"]: r for r in quality.outlier_report(df, ["x", "none", "z"]).collect()}
+    assert (told["x"]["n_outliers"], told["x"]["pct_outliers"]) == (1, 20.0)
+    assert told["z"]["n_outliers"] == 0
+    stats = {r["column"]: r for r in quality.describe_numeric(df, ["x", "none", "z"]).collect()}
+    assert set(stats) == {"x", "z"}
+    assert (stats["z"]["count"], stats["z"]["mean"], stats["z"]["max"]) == (3, 2.0, 3.0)
