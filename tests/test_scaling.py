@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions import quantiles
-from orderlens.operators import quality, returns, sampling
+from orderlens.operators import neighbors, quality, returns, sampling
 
 
 def counted_rows(spark, n=400):
@@ -86,3 +86,12 @@ def test_box_plot_and_report_read_only_columns_with_values(spark):
     stats = {r["column"]: r for r in quality.describe_numeric(df, ["x", "none", "z"]).collect()}
     assert set(stats) == {"x", "z"}
     assert (stats["z"]["count"], stats["z"]["mean"], stats["z"]["max"]) == (3, 2.0, 3.0)
+
+
+def test_reach_is_judged_in_small_blocks():
+    """What one step holds: its rows times all coordinates of the boxes."""
+    low = np.zeros((256, 6))
+    x, sizes = np.ones((4_000, 6)), []
+    for row, _ in neighbors._within_reach(x, np.full(4_000, 9.0), low, low + 1):
+        sizes.append(len(np.unique(row)) * low.size)
+    assert max(sizes) <= 1_000_000 and neighbors.QUERIES_PER_GROUP <= 5_000
