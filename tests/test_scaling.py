@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions import quantiles
-from orderlens.operators import neighbors, quality, returns, sampling
+from orderlens.operators import neighbors, quality, recommend, returns, sampling
 
 
 def counted_rows(spark, n=400):
@@ -95,3 +95,30 @@ def test_reach_is_judged_in_small_blocks():
     for row, _ in neighbors._within_reach(x, np.full(4_000, 9.0), low, low + 1):
         sizes.append(len(np.unique(row)) * low.size)
     assert max(sizes) <= 1_000_000 and neighbors.QUERIES_PER_GROUP <= 5_000
+
+
+def test_copies_of_customers_grow_with_the_tables():
+    def copies(n):
+        customers, products, categories = 90_000 * n, 120_000 * n, 25
+        edge = recommend._cell_edge(customers * products)
+        blocks = -(-products // categories // (recommend.PRODUCTS_PER_BLOCK * edge))
+        return customers * categories * blocks
+
+    assert recommend._cell_edge(15_000 * 20_000) == 1
+    assert copies(60) <= 6 * 1.3 * copies(10)
+
+
+def test_rows_above_the_floor_hold_the_best(spark):
+    rng = np.random.default_rng(5)
+    rows = [(c, p, int(p % 3 == 0), float(s)) for c in (1, 2) for p, s in
+            enumerate(np.round(rng.random(2_000), 2 if c == 1 else 9))]
+    rows += [(3, p, 0, s) for p, s in enumerate([None, float("nan"), 0.5, 0.5, None, 0.5, 0.1])]
+    rows += [(None, p, 0, s) for p, s in enumerate([0.3, None, 0.2])]
+    scored = spark.createDataFrame(
+        rows, "customer_id long, product_id long, purchased int, purchase_probability double")
+    left = recommend.above_floor(scored, 4)
+    keys = ["customer_id", "product_id", "rank"]
+    got, want = (sorted(map(str, recommend.top_k_per_customer(df, 4).select(*keys).collect()))
+                 for df in (left, scored))
+    assert got == want
+    assert left.where("customer_id = 2").count() <= 40
