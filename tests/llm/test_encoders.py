@@ -27,3 +27,16 @@ def test_ids_are_the_librarys(name):
         got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)]
         wrong = [(t, g, w) for t, g, w in zip(part, got, want) if g != w]
         assert not wrong, wrong[0]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_few_words_go_to_the_library(name, monkeypatch):
+    """Letters of Latin words and the signs behind them need no call of their own."""
+    encoder, asked = WordEncoder(public_tokenizers.path(name)), []
+    library = encoder._library
+    monkeypatch.setattr(encoder, "_library", lambda texts: asked.extend(texts) or library(texts))
+    texts = [f"Straße{x} Été{x}### word{x}, a{x}!? end{x}.\nÑandú{x}&&&"
+             for x in ("ab", "Cd", "ef")] + ["a<|endoftext|>, b|> it's, İx, ŉa!"]
+    want = [x.ids for x in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert len(set(asked)) <= 12
