@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.functions import quantiles
-from orderlens.operators import neighbors, quality, recommend, returns, sampling
+from orderlens.operators import explain, neighbors, orders, quality, recommend, returns, sampling
+from orderlens.plans import jobs
 
 
 def counted_rows(spark, n=400):
@@ -35,6 +36,42 @@ def test_the_plan_behind_the_rows_runs_once(spark, job):
     assert made.value == 400
 
 
+def test_scores_are_summed_by_one_number(spark):
+    df, made = counted_rows(spark)
+    df = df.select("key", "x", "y")
+    values = explain.shapley_values(lambda f: f.withColumn("score", F.col("x") + F.col("y")), df,
+                                    ["x", "y"], df.limit(3).select("x", "y"), "key")
+    plan = values._jdf.queryExecution().optimizedPlan().toString()
+    grown = next(line for line in plan.splitlines() if "Aggregate" in line and "_weight_0" in line)
+    assert "Aggregate [_vector" in grown and "_own_0" not in grown
+    assert values.count() == 800
+
+
+def test_order_features_are_made_once_for_the_reorder_rows(spark, monkeypatch):
+    df, made = counted_rows(spark)
+    day = F.date_add(F.lit("1997-06-01").cast("date"), F.col("y").cast("int"))
+    features = df.select(
+        (F.col("y") % 7).cast("long").alias("customer_id"), F.col("y").cast("long").alias("order_id"),
+        day.alias("order_date"), F.col("x").alias("net_spent"),
+        F.lit(1).cast("long").alias("total_quantity"), F.col("x").alias("avg_discount"),
+        F.col("x").alias("avg_unit_price"), F.lit(2).cast("long").alias("total_orders"),
+        F.lit("1997Q1").alias("year_quarter"))
+    monkeypatch.setattr(orders, "order_features", lambda *_: features)
+    rows, _, _ = jobs.reorder_training_rows({}, jobs.ReorderConfig())
+    assert 0 < rows.count() <= 400 and made.value == 400
+
+
+def test_components_read_the_resampled_rows_from_a_table(spark, monkeypatch):
+    import __spark_entry__ as registered
+    df, made = counted_rows(spark)
+    rows = df.select(F.col("key").alias("line_id"), F.col("label").alias("is_returned"),
+                     *[(F.col("x") * (i + 1) + F.col("y") * (i % 2)).alias(c)
+                       for i, c in enumerate(registered.LINE_FEATURES)])
+    monkeypatch.setattr(registered, "_smote", lambda *_: rows)
+    assert registered._pca(spark, "").count() == 400
+    assert made.value == 400
+
+
 def test_products_are_joined_after_orders(spark):
     lines = spark.createDataFrame(
         [("a", 1, 7, 2.0, 3, 0.25), ("b", 1, 8, 4.0, 1, 0.0), ("c", 2, 7, 2.0, 0, 0.0),
