@@ -182,6 +182,21 @@ def test_network_stops_when_held_out_loss_does(spark):
     assert all(a >= b - 1e-9 for a, b in zip(fit, fit[1:]))     # steps go on from the last weights
 
 
+def test_network_steps_read_a_work_table(spark, monkeypatch):
+    """Rows are joined and spread before the first step, so no step shuffles them again."""
+    plans, real = [], learners.MultilayerPerceptronClassifier.fit
+
+    def fit(self, df, *more):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(self, df, *more)
+
+    monkeypatch.setattr(learners.MultilayerPerceptronClassifier, "fit", fit)
+    train, held = network_rows(spark, 60, 0.1).coalesce(1), network_rows(spark, 40, 0.1)
+    learners.fitted_with_patience([], ["a", "b"], learners.perceptron(2, (3,), "y", 6), train, held,
+                                  "y", step=3)
+    assert plans and all("Scan parquet" in p and "Exchange" not in p for p in plans)
+
+
 def test_network_without_held_rows(spark):
     train = network_rows(spark, 200, 0.0)
     network = learners.perceptron(2, (4,), "y", 12)
