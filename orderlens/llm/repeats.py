@@ -113,7 +113,7 @@ def suffix_array(symbols: np.ndarray, depth: int) -> np.ndarray:
     for k in range(have):                                # seven symbols in one number
         key = (key << np.uint64(9)) | padded[k:k + n]
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)     # the order of equal keys doesn't matter
         ordered = key[order]
         step = np.zeros(n, np.int64)
         step[1:] = ordered[1:] != ordered[:-1]
@@ -163,7 +163,8 @@ def common_prefixes(symbols: np.ndarray, order: np.ndarray, stop: int) -> np.nda
 
 def repeated_strings(pieces: list[bytes], keys: np.ndarray, length: int) -> np.ndarray:
     """Which starts in the concatenated pieces begin a string of ``length`` bytes that also begins
-    at a start with a smaller key. ``keys`` has a row (document, start) for each byte."""
+    at a start with a smaller key. ``keys`` has a row (document, start) for each byte, both of them
+    from 0 and below 2**31."""
     sizes = np.array([len(p) for p in pieces])
     flat = np.zeros(int(sizes.sum()) + len(pieces), np.uint16)
     begins = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
@@ -174,16 +175,16 @@ def repeated_strings(pieces: list[bytes], keys: np.ndarray, length: int) -> np.n
     group = np.cumsum(common_prefixes(flat, order, length) < length)
     valid = (within + length <= size)[order]
     rows, group = order[valid], group[valid]
+    found = np.zeros(len(keys), bool)
+    if not len(rows):
+        return found
     position = np.cumsum(within < size) - 1              # of each symbol among the bytes
-    key = keys[position[rows]]
-    ranked = np.lexsort((key[:, 1], key[:, 0], group))
-    rows, group, key = rows[ranked], group[ranked], key[ranked]
-    new = np.ones(len(rows), bool)
+    at = position[rows]
+    key = (keys[:, 0] << 32 | keys[:, 1])[at]            # starts of a text lie below 2**31
+    new = np.ones(len(rows), bool)                       # rows of a group stand together
     new[1:] = group[1:] != group[:-1]
-    first = key[np.flatnonzero(new)][np.cumsum(new) - 1]
-    later = (key != first).any(axis=1)
-    found = np.zeros(len(keys), bool)
-    found[position[rows[later]]] = True
+    first = np.minimum.reduceat(key, np.flatnonzero(new))
+    found[at[key != first[np.cumsum(new) - 1]]] = True
     return found
 
 

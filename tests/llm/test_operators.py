@@ -118,6 +118,24 @@ def test_known_repeats_leave_the_first_row():
     assert repeats._repeated_here(*[x[:0] for x in (a, w, a > 0, a, a)]).tolist() == []
 
 
+def test_repeated_strings_without_sorting_keys(monkeypatch):
+    """Rows of equal strings stand together, so the earliest start is a minimum, not a sort."""
+    monkeypatch.setattr(repeats.np, "lexsort", None)
+    rng = np.random.default_rng(4)
+    for length in (2, 3, 5, 9):
+        parts = [bytes(rng.integers(97, 99, rng.integers(0, 12), dtype=np.uint8)) for _ in range(4)]
+        pieces = [b"".join(parts[i] for i in rng.integers(0, 4, 3)) for _ in range(12)]
+        keys = [(k // 2, 5 * (k % 2) + i) for k, p in enumerate(pieces) for i in range(len(p))]
+        strings = [p[i:i + length] for p in pieces for i in range(len(p))]
+        first = {}
+        for text, key in zip(strings, keys):
+            if len(text) == length:
+                first[text] = min(key, first.get(text, key))
+        want = [len(text) == length and first[text] < key for text, key in zip(strings, keys)]
+        assert repeats.repeated_strings(pieces, np.array(keys), length).tolist() == want
+    assert repeats.repeated_strings([b"ab"], np.array([[0, 0], [0, 1]]), 3).tolist() == [False] * 2
+
+
 def test_mixing(docs, empty):
     got = mixing.mix_sources(docs).toPandas()
     again = mixing.mix_sources(docs).toPandas()
