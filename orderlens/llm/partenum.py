@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ GROUP_ROWS = 2000
 _SEED_WORDS, _SEED_SETS = 11, 12
 _SKETCH = 8   # longs
 ROUNDS = 3
+_SURE = ("sure", "sure_next")
 _LIGHT = 2   # signatures of fewer elements are left out where they aren't needed
 
 
@@ -103,26 +105,33 @@ class Bands:
         return np.searchsorted(np.array(self.high), sizes)
 
 
-def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
-               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Signatures of the sets, the number of the set each belongs to, and whether it is one for
-    the next band (two sets that both have it so also meet in their own band).
+_BOTH = ((0, 1), (0, 2), (1, 2))   # pairs of sub-parts
 
-    A part with a pair of sub-parts of fewer than two elements is light. A set with no more light
-    parts than there are parts beyond differ / 2 + 1 has a full one among those it shares with any
-    similar set, so signatures of less than two elements are left out, by both sets alike; a set
-    with more light parts keeps all of its own.
-    """
-    sizes = np.diff(at)
+
+class _Cut(NamedTuple):
+    """Sets cut into the parts of a band: per set its band, parts, light parts and whether it keeps
+    all signatures; per part its set and the elements in each pair of sub-parts; which elements
+    have a sub-part, and its number."""
+    tag: np.ndarray
+    parts: np.ndarray
+    light: np.ndarray
+    keep_all: np.ndarray
+    pair_of: np.ndarray
+    held: np.ndarray
+    mine: np.ndarray
+    cell: np.ndarray
+
+
+def _cuts(sets: np.ndarray, at: np.ndarray, similarity: Fraction) -> Iterator[_Cut]:
+    """The sets cut by their own band, then by the next one; nothing if all are empty."""
     if not len(sets):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
+        return
+    sizes = np.diff(at)
     bands = Bands(similarity, int(sizes.max()))
     band = bands.of(sizes)
     spread = mix(sets + np.uint64(0x51ED270B))
     high, low = spread >> np.uint64(32), spread & np.uint64(0xFFFFFFFF)
     owner = np.repeat(np.arange(len(sizes)), sizes)
-    value = mix(sets ^ np.uint64(0xA0761D6478BD642F))
-    found, owners, upper = [], [], []
     for step in (0, 1):
         tag = band + step
         used = (sizes > 0) & (bands.differ[tag] > 0)
@@ -133,29 +142,60 @@ def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
         part = (high[mine] * parts[who].astype(np.uint64)) >> np.uint64(32)
         sub = (low[mine] * np.uint64(3)) >> np.uint64(32)
         cell = first[who] + (part * np.uint64(3) + sub).astype(np.int64)
-        v = value[mine]
-        n = int(first[-1])
-        lows = np.bincount(cell, (v & np.uint64(0xFFFFFFFF)).astype(float), n).astype(np.uint64)
-        highs = np.bincount(cell, (v >> np.uint64(32)).astype(float), n).astype(np.uint64)
-        sums = (lows + (highs << np.uint64(32))).reshape(-1, 3)
-        counts = np.bincount(cell, minlength=n).reshape(-1, 3)
+        counts = np.bincount(cell, minlength=int(first[-1])).reshape(-1, 3)
         pair_of = np.repeat(np.arange(len(sizes)), parts)
-        number = np.arange(len(pair_of)) - (first[:-1] // 3)[pair_of]
-        label = (tag[pair_of].astype(np.uint64) << np.uint64(40)) \
+        held = np.stack([counts[:, a] + counts[:, b] for a, b in _BOTH], axis=1)
+        light = np.bincount(pair_of, (held < _LIGHT).any(axis=1), len(sizes)).astype(np.int64)
+        yield _Cut(tag, parts, light, light > parts - bands.differ[tag] // 2 - 1, pair_of, held,
+                   mine, cell)
+
+
+def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the sets, the number of the set each belongs to, and whether it is one for
+    the next band (two sets that both have it so also meet in their own band).
+
+    A part with a pair of sub-parts of fewer than two elements is light. A set with no more light
+    parts than there are parts beyond differ / 2 + 1 has a full one among those it shares with any
+    similar set, so signatures of less than two elements are left out, by both sets alike; a set
+    with more light parts keeps all of its own.
+    """
+    found, owners, upper = [], [], []
+    value = mix(sets ^ np.uint64(0xA0761D6478BD642F))
+    for step, cut in enumerate(_cuts(sets, at, similarity)):
+        v = value[cut.mine]
+        n = 3 * len(cut.pair_of)
+        lows = np.bincount(cut.cell, (v & np.uint64(0xFFFFFFFF)).astype(float), n).astype(np.uint64)
+        highs = np.bincount(cut.cell, (v >> np.uint64(32)).astype(float), n).astype(np.uint64)
+        sums = (lows + (highs << np.uint64(32))).reshape(-1, 3)
+        first = np.cumsum(cut.parts) - cut.parts
+        number = np.arange(len(cut.pair_of)) - first[cut.pair_of]
+        label = (cut.tag[cut.pair_of].astype(np.uint64) << np.uint64(40)) \
             + number.astype(np.uint64) * np.uint64(3)
-        both = [(0, 1), (0, 2), (1, 2)]
-        held = np.stack([counts[:, a] + counts[:, b] for a, b in both], axis=1)
-        light = np.bincount(pair_of, (held < _LIGHT).any(axis=1), len(sizes))
-        spare = parts - bands.differ[tag] // 2 - 1
-        keep_all = (light > spare)[pair_of]
-        for k, (a, b) in enumerate(both):
-            keep = keep_all | (held[:, k] >= _LIGHT)
+        for k, (a, b) in enumerate(_BOTH):
+            keep = cut.keep_all[cut.pair_of] | (cut.held[:, k] >= _LIGHT)
             found.append(mix(sums[keep, a] + sums[keep, b] + mix(label[keep] + np.uint64(k))))
-            owners.append(pair_of[keep])
+            owners.append(cut.pair_of[keep])
             upper.append(np.full(len(owners[-1]), bool(step)))
+    if not found:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, bool)
     return np.concatenate(found), np.concatenate(owners), np.concatenate(upper)
 
 
+def sure_parts(sets: np.ndarray, at: np.ndarray, similarity: Fraction
+               ) -> tuple[np.ndarray, np.ndarray]:
+    """Per set, in its own band and in the next: parts less those whose signatures may be left out.
+
+    Sets that differ in d elements share a signature in all parts but d // 2, and both leave it out
+    only if the part is light in both. So they have at least the smaller of their two numbers, less
+    d // 2, of signatures in common.
+    """
+    sure = [np.where(cut.keep_all, cut.parts, cut.parts - cut.light)
+            for cut in _cuts(sets, at, similarity)]
+    none = np.zeros(len(at) - 1, np.int64)
+    return (sure[0], sure[1]) if sure else (none, none)
+
+
 def _fingerprint(sets: np.ndarray, owner: np.ndarray, n: int, salt: int = 0x1234567) -> np.ndarray:
     """A 64-bit number of each set that depends on all of its elements and nothing else."""
     v = mix(sets ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64))
@@ -181,7 +221,7 @@ def long_sketches(sets: np.ndarray, at: np.ndarray, similarity: Fraction) -> lis
 
 def _features(batches: Iterator[pa.RecordBatch], words: int,
               similarity: Fraction) -> Iterator[pa.RecordBatch]:
-    """Per document: size of its set, a fingerprint of it, and sketches: bits that are the parity
+    """Per document: size of its set, a fingerprint of it, its sure parts, and sketches: bits that are the parity
     of the elements that fall on them, so two sketches differ in no more bits than their sets. The
     short ones (512 bits) are compared in joins, the long ones before sets are."""
     for part in slices(batches):
@@ -197,6 +237,8 @@ def _features(batches: Iterator[pa.RecordBatch], words: int,
         longs = np.packbits(parity.reshape(n, bits), axis=1).view(np.int64).reshape(n, _SKETCH)
         for k in range(_SKETCH):
             columns[f"s{k}"] = pa.array(np.ascontiguousarray(longs[:, k]), pa.int64())
+        for name, sure in zip(_SURE, sure_parts(sets, at, similarity)):
+            columns[name] = pa.array(sure, pa.int64())
         columns["sketch"] = pa.array(long_sketches(sets, at, similarity), pa.binary())
         yield pa.RecordBatch.from_pydict(columns)
 
@@ -230,6 +272,16 @@ def _near(left: str, right: str, similarity: Fraction):
     return (a * q >= b * p) & (b * q >= a * p) & (bits <= _limit(a, b, similarity)), bits
 
 
+def _shared_by_similar(left: str, right: str, similarity: Fraction):
+    """Signatures that two rows' sets have in common at least if they are similar."""
+    def sure(side):
+        return F.when(F.col(f"{side}.upper"), F.col(f"{side}.sure_next")).otherwise(
+            F.col(f"{side}.sure"))
+
+    differ = _limit(F.col(f"{left}.n"), F.col(f"{right}.n"), similarity)
+    return F.least(sure(left), sure(right)) - F.floor(differ / 2)
+
+
 def _shared_signatures(docs: DataFrame, words: int, similarity: Fraction) -> DataFrame:
     """Signatures that different sets have, and the sets' fingerprints: sig, f1, upper (distinct).
 
@@ -351,15 +403,15 @@ def similarity_classes(docs: DataFrame, words: int = 4,
     component, and links with nothing. Empty input gives no rows; other columns are ignored.
     """
     texts = documents(docs)
+    sketch = [f"s{k}" for k in range(_SKETCH)]
     features = written(texts.mapInArrow(
         lambda it: _features(it, words, similarity), "doc_id long, n long, f1 long, f2 long, " +
-        ", ".join(f"s{k} long" for k in range(_SKETCH)) + ", sketch binary"), "features")
+        ", ".join(f"{c} long" for c in (*sketch, *_SURE)) + ", sketch binary"), "features")
     known = features.where("doc_id IS NOT NULL AND n > 0")
-    sketch = [f"s{k}" for k in range(_SKETCH)]
     # A class is a set; its fingerprint stands for it.
     classes = written(known.groupBy("f1").agg(
-        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", *sketch, "sketch")]),
-        "classes")
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in (
+            "n", *sketch, *_SURE, "sketch")]), "classes")
     # Rows that share a doc_id are one node, so their classes belong together.
     ids = known.select("doc_id", "f1")
     several = ids.groupBy("doc_id").agg(F.min("f1").alias("b"), F.max("f1").alias("most")).where(
@@ -367,7 +419,7 @@ def similarity_classes(docs: DataFrame, words: int = 4,
     one_node = written(ids.join(several, "doc_id").select(F.col("f1").alias("a"), "b").where(
         "a <> b").distinct(), "shared-ids")
     shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), words, similarity)
-    firsts = classes.select("f1", "n", *sketch)
+    firsts = classes.select("f1", "n", *sketch, *_SURE)
     near, bits = _near("x", "y", similarity)
 
     # Some rounds: in each signature, sets of another component than its leader's (another one in
@@ -388,14 +440,18 @@ def similarity_classes(docs: DataFrame, words: int = 4,
         links = links.union(verified(best, classes, texts, words, similarity))
         placed = written(_placed(firsts, components(links)), "placed")
 
-    # All pairs of a signature that are still in different components and may be alike.
+    # All pairs of a signature that are still in different components and may be alike, if they
+    # share as many signatures as similar sets do: large sets have many, and chance shares few.
     ends = shared.join(placed.select("f1", "group"), "f1").groupBy("sig").agg(
         F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("sig")
     open_rows = written(shared.join(ends, "sig").join(placed, "f1"), "open-signatures")
     pairs = open_rows.alias("x").join(open_rows.alias("y"), (
         F.col("x.sig") == F.col("y.sig")) & (F.col("x.group") < F.col("y.group")) & near
         & ~(F.col("x.upper") & F.col("y.upper"))).select(
-        F.least("x.f1", "y.f1").alias("a"), F.greatest("x.f1", "y.f1").alias("b")).distinct()
+        F.least("x.f1", "y.f1").alias("a"), F.greatest("x.f1", "y.f1").alias("b"),
+        _shared_by_similar("x", "y", similarity).alias("wanted"))
+    pairs = pairs.groupBy("a", "b", "wanted").agg(F.count("*").alias("met")).where(
+        "met >= wanted").select("a", "b")
     more = verified(pairs, classes, texts, words, similarity)
     final = components(links.union(more))
 

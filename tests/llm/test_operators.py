@@ -391,6 +391,47 @@ def test_sketches_never_reject_similar_sets():
             assert partenum.sketch_distance(x, y) >= 0.7 * apart - 3
 
 
+def test_similar_sets_share_as_many_signatures_as_asked():
+    rng, similarity, seen = np.random.default_rng(6), Fraction(8, 10), 0
+    for n in (3, 12, 40, 150, 900, 2500):
+        for _ in range(12):
+            base = rng.integers(0, 2**63, n, dtype=np.uint64)
+            more = rng.integers(0, 2**63, rng.integers(0, n // 9 + 2), dtype=np.uint64)
+            pair = [base[rng.integers(0, n // 9 + 1):], np.concatenate([base, more])]
+            pair = [np.unique(x) for x in pair]
+            sizes = [len(x) for x in pair]
+            common, sets = len(np.intersect1d(*pair)), np.concatenate(pair)
+            if common * 5 < 4 * (sum(sizes) - common) or common == max(sizes):
+                continue
+            at = np.array([0, sizes[0], sum(sizes)])
+            found, owner, upper = partenum.signatures(sets, at, similarity)
+            sure = partenum.sure_parts(sets, at, similarity)
+            mine, other = (dict(zip(found[owner == k].tolist(), upper[owner == k].tolist()))
+                           for k in (0, 1))
+            met = [(mine[x], other[x]) for x in mine if x in other and not (mine[x] and other[x])]
+            (a, b), = set(met)
+            assert len(met) >= min(sure[int(a)][0], sure[int(b)][1]) - sum(sizes) // 9 // 2
+            seen += 1
+    assert seen > 30
+
+
+def test_chance_signatures_make_no_pairs(spark, monkeypatch):
+    """Large sets with a passage in common share a few signatures; similar ones share many."""
+    rng, asked, real = random.Random(9), [], partenum.verified
+
+    def verified(pairs, *more):
+        asked.append(pairs.count())
+        return real(pairs, *more)
+
+    monkeypatch.setattr(partenum, "verified", verified)
+    words = [f"w{k}" for k in range(100_000)]
+    shared = rng.sample(words, 900)
+    rows = [(k, " ".join(shared + rng.sample(words, 600))) for k in range(30)]
+    found = partenum.similarity_classes(frame(spark, rows), 5, Fraction(8, 10)).collect()
+    assert all(r["doc_id"] == r["component_id"] for r in found)
+    assert sum(asked[:-1]) > 0 and asked[-1] == 0
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     data = [(k, rng.normal(size=16).astype(float).tolist()) for k in range(300)]
