@@ -30,6 +30,9 @@ _SKETCH = 8   # longs
 ROUNDS = 3
 _SURE = ("sure", "sure_next")
 _LIGHT = 2   # signatures of fewer elements are left out where they aren't needed
+_LEFT_OUT = ("spare", "spare_next", "whole", "whole_next")
+#: Signatures that more sets have than this may be left out of the last join.
+_RARE = 2
 
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,12 +112,13 @@ _BOTH = ((0, 1), (0, 2), (1, 2))   # pairs of sub-parts
 
 
 class _Cut(NamedTuple):
-    """Sets cut into the parts of a band: per set its band, parts, light parts and whether it keeps
-    all signatures; per part its set and the elements in each pair of sub-parts; which elements
+    """Sets cut into the parts of a band: per set its band, parts, light parts, the most differences
+    from a similar set it meets in that band, and whether it keeps all signatures; per part its set and the elements in each pair of sub-parts; which elements
     have a sub-part, and its number."""
     tag: np.ndarray
     parts: np.ndarray
     light: np.ndarray
+    differ: np.ndarray
     keep_all: np.ndarray
     pair_of: np.ndarray
     held: np.ndarray
@@ -128,7 +132,8 @@ def _cuts(sets: np.ndarray, at: np.ndarray, similarity: Fraction) -> Iterator[_C
         return
     sizes = np.diff(at)
     bands = Bands(similarity, int(sizes.max()))
-    band = bands.of(sizes)
+    band, high_of = bands.of(sizes), np.array(bands.high)
+    p, q = similarity.numerator, similarity.denominator
     spread = mix(sets + np.uint64(0x51ED270B))
     high, low = spread >> np.uint64(32), spread & np.uint64(0xFFFFFFFF)
     owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -146,8 +151,9 @@ def _cuts(sets: np.ndarray, at: np.ndarray, similarity: Fraction) -> Iterator[_C
         pair_of = np.repeat(np.arange(len(sizes)), parts)
         held = np.stack([counts[:, a] + counts[:, b] for a, b in _BOTH], axis=1)
         light = np.bincount(pair_of, (held < _LIGHT).any(axis=1), len(sizes)).astype(np.int64)
-        yield _Cut(tag, parts, light, light > parts - bands.differ[tag] // 2 - 1, pair_of, held,
-                   mine, cell)
+        differ = (sizes + np.minimum(high_of[tag], sizes * q // p)) * (q - p) // (q + p)
+        yield _Cut(tag, parts, light, differ, light > parts - bands.differ[tag] // 2 - 1, pair_of,
+                   held, mine, cell)
 
 
 def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
@@ -158,7 +164,8 @@ def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
     A part with a pair of sub-parts of fewer than two elements is light. A set with no more light
     parts than there are parts beyond differ / 2 + 1 has a full one among those it shares with any
     similar set, so signatures of less than two elements are left out, by both sets alike; a set
-    with more light parts keeps all of its own.
+    with more light parts keeps all of its own. Signatures of less than two elements are odd
+    numbers, others even.
     """
     found, owners, upper = [], [], []
     value = mix(sets ^ np.uint64(0xA0761D6478BD642F))
@@ -173,8 +180,10 @@ def signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
         label = (cut.tag[cut.pair_of].astype(np.uint64) << np.uint64(40)) \
             + number.astype(np.uint64) * np.uint64(3)
         for k, (a, b) in enumerate(_BOTH):
-            keep = cut.keep_all[cut.pair_of] | (cut.held[:, k] >= _LIGHT)
-            found.append(mix(sums[keep, a] + sums[keep, b] + mix(label[keep] + np.uint64(k))))
+            few = cut.held[:, k] < _LIGHT
+            keep = cut.keep_all[cut.pair_of] | ~few
+            sig = mix(sums[keep, a] + sums[keep, b] + mix(label[keep] + np.uint64(k)))
+            found.append(sig & ~np.uint64(1) | few[keep].astype(np.uint64))
             owners.append(cut.pair_of[keep])
             upper.append(np.full(len(owners[-1]), bool(step)))
     if not found:
@@ -196,6 +205,26 @@ def sure_parts(sets: np.ndarray, at: np.ndarray, similarity: Fraction
     return (sure[0], sure[1]) if sure else (none, none)
 
 
+def spare_signatures(sets: np.ndarray, at: np.ndarray, similarity: Fraction
+                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per set, in its own band and in the next: how many of its signatures may be left out, if all
+    sets leave out the first in one order; and whether it keeps all signatures up to then.
+
+    A set with sure parts ``s`` that differs in at most ``d`` elements from a similar one shares at
+    least ``s - d // 2`` signatures with it: all its signatures are there or, if it lacks the light
+    ones, none of these are counted. With one order for all, the last of the shared ones is behind
+    ``s - d // 2 - 1`` others in both sets, so that many of each set's first can go. Sets that lack
+    light signatures share heavy ones only, so one that keeps all may leave out light ones alone.
+    """
+    cuts = list(_cuts(sets, at, similarity))
+    none = np.zeros(len(at) - 1, np.int64)
+    if not cuts:
+        return none, none, none.astype(bool), none.astype(bool)
+    spare = [np.maximum(sure - cut.differ // 2 - 1, 0)
+             for sure, cut in zip(sure_parts(sets, at, similarity), cuts)]
+    return spare[0], spare[1], cuts[0].keep_all, cuts[1].keep_all
+
+
 def _fingerprint(sets: np.ndarray, owner: np.ndarray, n: int, salt: int = 0x1234567) -> np.ndarray:
     """A 64-bit number of each set that depends on all of its elements and nothing else."""
     v = mix(sets ^ np.uint64(salt * 0x9E3779B97F4A7C15 % 2**64))
@@ -221,9 +250,10 @@ def long_sketches(sets: np.ndarray, at: np.ndarray, similarity: Fraction) -> lis
 
 def _features(batches: Iterator[pa.RecordBatch], words: int,
               similarity: Fraction) -> Iterator[pa.RecordBatch]:
-    """Per document: size of its set, a fingerprint of it, its sure parts, and sketches: bits that are the parity
-    of the elements that fall on them, so two sketches differ in no more bits than their sets. The
-    short ones (512 bits) are compared in joins, the long ones before sets are."""
+    """Per document: size of its set, a fingerprint of it, its sure parts and what it may leave out,
+    and sketches: bits that are the parity of the elements that fall on them, so two sketches differ
+    in no more bits than their sets. The short ones (512 bits) are compared in joins, the long ones
+    before sets are."""
     for part in slices(batches):
         sets, at = shingle_sets(part.column("text"), words)
         n = len(at) - 1
@@ -239,6 +269,8 @@ def _features(batches: Iterator[pa.RecordBatch], words: int,
             columns[f"s{k}"] = pa.array(np.ascontiguousarray(longs[:, k]), pa.int64())
         for name, sure in zip(_SURE, sure_parts(sets, at, similarity)):
             columns[name] = pa.array(sure, pa.int64())
+        for name, left_out in zip(_LEFT_OUT, spare_signatures(sets, at, similarity)):
+            columns[name] = pa.array(left_out.astype(np.int64), pa.int64())
         columns["sketch"] = pa.array(long_sketches(sets, at, similarity), pa.binary())
         yield pa.RecordBatch.from_pydict(columns)
 
@@ -274,12 +306,32 @@ def _near(left: str, right: str, similarity: Fraction):
 
 def _shared_by_similar(left: str, right: str, similarity: Fraction):
     """Signatures that two rows' sets have in common at least if they are similar."""
-    def sure(side):
-        return F.when(F.col(f"{side}.upper"), F.col(f"{side}.sure_next")).otherwise(
-            F.col(f"{side}.sure"))
-
     differ = _limit(F.col(f"{left}.n"), F.col(f"{right}.n"), similarity)
-    return F.least(sure(left), sure(right)) - F.floor(differ / 2)
+    return F.least(F.col(f"{left}.sure"), F.col(f"{right}.sure")) - F.floor(differ / 2)
+
+
+def open_signatures(shared: DataFrame, placed: DataFrame) -> DataFrame:
+    """Signatures that sets of different groups have, with the group and the sure parts of the set
+    in that band; ``gone`` are the common ones that :func:`spare_signatures` lets it leave out.
+
+    The order for all sets: light ones that several sets have, then others, common ones first.
+    What chance gives to many sets is light as a rule, so few rows are left that meet by chance.
+    """
+    ends = shared.join(placed.select("f1", "group"), "f1").groupBy("sig").agg(
+        F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("many")).where(
+        "low < high").select("sig", "many")
+
+    def of_band(name):
+        return F.when(F.col("upper"), F.col(f"{name}_next")).otherwise(F.col(name)).alias(name)
+
+    several, light = F.col("many") > _RARE, F.col("sig").bitwiseAND(F.lit(1)) == 1
+    rows = shared.join(ends, "sig").join(placed.select("f1", "group", *_SURE, *_LEFT_OUT), "f1").select(
+        "sig", "f1", "upper", "group", several.alias("several"), light.alias("light"), "many",
+        *[of_band(c) for c in ("sure", "spare", "whole")])
+    place = F.row_number().over(Window.partitionBy("f1", "upper").orderBy(
+        (F.col("several") & F.col("light")).desc(), F.desc("many"), "sig"))
+    gone = (place <= F.col("spare")) & F.col("several") & (F.col("light") | (F.col("whole") == 0))
+    return rows.select("sig", "f1", "upper", "group", "sure", gone.alias("gone"))
 
 
 def _shared_signatures(docs: DataFrame, words: int, similarity: Fraction) -> DataFrame:
@@ -406,12 +458,12 @@ def similarity_classes(docs: DataFrame, words: int = 4,
     sketch = [f"s{k}" for k in range(_SKETCH)]
     features = written(texts.mapInArrow(
         lambda it: _features(it, words, similarity), "doc_id long, n long, f1 long, f2 long, " +
-        ", ".join(f"{c} long" for c in (*sketch, *_SURE)) + ", sketch binary"), "features")
+        ", ".join(f"{c} long" for c in (*sketch, *_SURE, *_LEFT_OUT)) + ", sketch binary"), "features")
     known = features.where("doc_id IS NOT NULL AND n > 0")
     # A class is a set; its fingerprint stands for it.
     classes = written(known.groupBy("f1").agg(
         F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in (
-            "n", *sketch, *_SURE, "sketch")]), "classes")
+            "n", *sketch, *_SURE, *_LEFT_OUT, "sketch")]), "classes")
     # Rows that share a doc_id are one node, so their classes belong together.
     ids = known.select("doc_id", "f1")
     several = ids.groupBy("doc_id").agg(F.min("f1").alias("b"), F.max("f1").alias("most")).where(
@@ -419,7 +471,7 @@ def similarity_classes(docs: DataFrame, words: int = 4,
     one_node = written(ids.join(several, "doc_id").select(F.col("f1").alias("a"), "b").where(
         "a <> b").distinct(), "shared-ids")
     shared = _shared_signatures(texts.where("doc_id IS NOT NULL"), words, similarity)
-    firsts = classes.select("f1", "n", *sketch, *_SURE)
+    firsts = classes.select("f1", "n", *sketch, *_SURE, *_LEFT_OUT)
     near, bits = _near("x", "y", similarity)
 
     # Some rounds: in each signature, sets of another component than its leader's (another one in
@@ -442,16 +494,22 @@ def similarity_classes(docs: DataFrame, words: int = 4,
 
     # All pairs of a signature that are still in different components and may be alike, if they
     # share as many signatures as similar sets do: large sets have many, and chance shares few.
-    ends = shared.join(placed.select("f1", "group"), "f1").groupBy("sig").agg(
-        F.min("group").alias("low"), F.max("group").alias("high")).where("low < high").select("sig")
-    open_rows = written(shared.join(ends, "sig").join(placed, "f1"), "open-signatures")
-    pairs = open_rows.alias("x").join(open_rows.alias("y"), (
+    open_rows = written(open_signatures(shared, placed).join(
+        placed.select("f1", "n", *sketch), "f1"), "open-signatures")
+    kept = open_rows.where("NOT gone")
+    met = written(kept.alias("x").join(kept.alias("y"), (
         F.col("x.sig") == F.col("y.sig")) & (F.col("x.group") < F.col("y.group")) & near
         & ~(F.col("x.upper") & F.col("y.upper"))).select(
-        F.least("x.f1", "y.f1").alias("a"), F.greatest("x.f1", "y.f1").alias("b"),
-        _shared_by_similar("x", "y", similarity).alias("wanted"))
-    pairs = pairs.groupBy("a", "b", "wanted").agg(F.count("*").alias("met")).where(
-        "met >= wanted").select("a", "b")
+        F.struct("x.f1", "x.upper").alias("x"), F.struct("y.f1", "y.upper").alias("y"),
+        _shared_by_similar("x", "y", similarity).alias("wanted")).distinct(), "met-pairs")
+    # All open signatures of the sets that met count, also those left out of the join.
+    some = met.select("x.*").union(met.select("y.*")).distinct()
+    lists = open_rows.join(some, ["f1", "upper"], "left_semi").groupBy("f1", "upper").agg(
+        F.collect_list("sig").alias("sigs")).select(F.struct("f1", "upper").alias("set"), "sigs")
+    pairs = met.join(lists.select(F.col("set").alias("x"), F.col("sigs").alias("of_x")), "x").join(
+        lists.select(F.col("set").alias("y"), F.col("sigs").alias("of_y")), "y").where(
+        F.size(F.array_intersect("of_x", "of_y")) >= F.col("wanted")).select(
+        F.least("x.f1", "y.f1").alias("a"), F.greatest("x.f1", "y.f1").alias("b"))
     more = verified(pairs, classes, texts, words, similarity)
     final = components(links.union(more))
 

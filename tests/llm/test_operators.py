@@ -432,6 +432,40 @@ def test_chance_signatures_make_no_pairs(spark, monkeypatch):
     assert sum(asked[:-1]) > 0 and asked[-1] == 0
 
 
+def test_common_signatures_are_left_out_and_no_link(spark, monkeypatch):
+    """The last join alone finds all links, though what chance gives to many sets isn't joined."""
+    rng, held, real = random.Random(12), [], partenum.written
+
+    def written(df, name, *more):
+        out = real(df, name, *more)
+        held.extend([out] if name == "open-signatures" else [])
+        return out
+
+    monkeypatch.setattr(partenum, "written", written)
+    monkeypatch.setattr(partenum, "ROUNDS", 0)
+    words, rows = [f"w{k}" for k in range(100_000)], []
+    for k in range(150):
+        text = rng.sample(words, rng.choice((60, 250, 1150, 1150, 1150)))
+        near = text[:len(text) - rng.randint(0, 20)]
+        for at in rng.sample(range(len(near)), max(len(near) // 60 + rng.randint(-3, 6), 0)):
+            near[at] = "changed"
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(near))]
+    found = {r["doc_id"]: r["component_id"] for r in partenum.similarity_classes(
+        frame(spark, rows), 5, Fraction(8, 10)).collect()}
+    linked = 0
+    for (a, x), (b, y) in zip(rows[::2], rows[1::2]):
+        x, y = ({tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in (x.split(), y.split()))
+        alike = 5 * len(x & y) >= 4 * len(x | y)
+        assert found[a] == a and found[b] == (a if alike else b)
+        linked += alike
+    assert 30 < linked < 140
+    table, = held
+    table = table.where("NOT gone") if "gone" in table.columns else table
+    met = table.groupBy("sig").count().where("count > 2").selectExpr(
+        "coalesce(sum(count * (count - 1) / 2), 0)").first()[0]
+    assert met < 1000
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     data = [(k, rng.normal(size=16).astype(float).tolist()) for k in range(300)]
