@@ -1,12 +1,17 @@
 """Work that grows no faster than the input: plans that run once, shared sketches, bounded groups."""
 
+import datetime as dt
+from decimal import Decimal
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from orderlens.functions import quantiles
 from orderlens.operators import explain, neighbors, orders, quality, recommend, returns, sampling
 from orderlens.plans import jobs
+from orderlens.sources import base_schemas
 
 
 def counted_rows(spark, n=400):
@@ -159,3 +164,48 @@ def test_rows_above_the_floor_hold_the_best(spark):
                  for df in (left, scored))
     assert got == want
     assert left.where("customer_id = 2").count() <= 40
+
+
+def odd_shop(spark):
+    """Customers, products and sales with ties, NULLs, prices below 0 and rows that come twice."""
+    rng = np.random.default_rng(11)
+    cents = lambda x: None if x is None else Decimal(str(round(float(x), 2)))
+    products = [(p, f"p{p}", p % 3 + 1, float(rng.integers(1, 40)), int(p % 2)) for p in range(240)]
+    products += [(300, "none", 1, None, 0), (301, "below", 2, -500.0, 0), (302, "small", 4, 3.0, 0),
+                 (303, "nan", 1, float("nan"), 0), (304, "alone", 9, 1.0, 0), products[0], products[7]]
+    customers = [(c, "TR", "Izmir") for c in range(40)] + [(3, "TR", "Izmir"), (99, "TR", "Izmir")]
+    orders_ = [(o, int(rng.integers(0, 40)), dt.date(1998, 1, 1 + o % 28)) for o in range(160)]
+    orders_ += [(900, 90, dt.date(1998, 1, 1))]
+    lines = [(f"l{i}", int(rng.integers(0, 160)), int(rng.zipf(1.4)) % 240,
+              cents(rng.integers(1, 30)), int(rng.integers(1, 5)), cents(0.1)) for i in range(700)]
+    of = {o: c for o, c, _ in orders_}
+    # One customer pays below 0 on average, one has no price, one spends nothing.
+    price = {1: Decimal("-7.77"), 2: None, 4: Decimal("0.00")}
+    lines = [(i, o, p, price.get(of[o], x), q, d) for i, o, p, x, q, d in lines]
+    lines += [("x", 0, 301, cents(5), 1, cents(0)), ("y", 0, None, cents(5), 1, cents(0))]
+    rows = {"customers": customers, "products": products, "orders": orders_, "order_details": lines,
+            "categories": [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]}
+    schemas = base_schemas(T.LongType())
+    return {name: spark.createDataFrame(data, schemas[name]) for name, data in rows.items()}
+
+
+def test_contenders_hold_the_best_of_the_whole_grid(spark, monkeypatch, k=4):
+    import __spark_entry__ as registered
+    tables = odd_shop(spark)
+    known = recommend.summarize(tables)
+    score = registered._closed_form_score
+    monkeypatch.setattr(recommend, "LEADER_CHUNK", 50)
+    monkeypatch.setattr(recommend, "LEADER_BLOCK", 7)
+    monkeypatch.setattr(recommend, "CUSTOMERS_PER_BLOCK", 9)
+    monkeypatch.setattr(recommend, "PRODUCTS_PER_BLOCK", 11)
+    within = recommend.contenders(tables, known, score, registered.CLOSED_FORM_ORDER, k)
+    assert [r[0] for r in within.whole.collect()] == [1]
+    part, grid = (score(recommend.recommend_features(tables, known=known, within=w))
+                  for w in (within, None))
+    everything = sorted(map(str, grid.select(*sorted(grid.columns)).collect()))
+    assert set(map(str, part.select(*sorted(grid.columns)).collect())) <= set(everything)
+    assert part.where("customer_id <> 1").count() < grid.where("customer_id <> 1").count() / 3
+    keys = ["customer_id", "product_id", "rank", "purchase_probability", "purchased"]
+    got, want = (sorted(map(str, recommend.top_k_per_customer(df, k).select(*keys).collect()))
+                 for df in (part, grid))
+    assert got == want and len(want) == k * known.customers.count()
