@@ -209,3 +209,26 @@ def test_contenders_hold_the_best_of_the_whole_grid(spark, monkeypatch, k=4):
     got, want = (sorted(map(str, recommend.top_k_per_customer(df, k).select(*keys).collect()))
                  for df in (part, grid))
     assert got == want and len(want) == k * known.customers.count()
+
+
+def test_additive_scores_are_attributed_without_growing(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"k{i}", float(rng.normal()), float(rng.integers(0, 3)), float(i)) for i in range(30)]
+    odd = [("null", None, 1.0, 2.0), ("nan", float("nan"), 1.0, 2.0), ("inf", 1.0, float("inf"), 2.0)]
+    cols = ["x", "y", "z"]
+    df = spark.createDataFrame(rows + odd, "key string, x double, y double, z double")
+    score = explain.AdditiveScore({"x": F.col("x") * F.col("x"), "z": F.col("z") * F.lit(-0.5)})
+
+    def values(fn, background):
+        found = explain.shapley_values(fn, df, cols, background, "key")
+        return found, {(r["key"], r["feature"]): r["value"] for r in found.collect()}
+
+    for background in (df.where("key < 'k2'"), df.where("key < 'k2' or key = 'null'")):
+        found, got = values(score, background)
+        _, want = values(lambda d: score(d), background)
+        assert got.keys() == want.keys() and len(got) == 3 * (len(rows) + len(odd))
+        for at, value in want.items():
+            assert got[at] == pytest.approx(value, abs=1e-9, nan_ok=True), at
+    plain = explain.shapley_values(score, df.where("x < 9 and y < 9"), cols,
+                                   df.where("key < 'k2'"), "key")
+    assert "Join" not in plain._jdf.queryExecution().optimizedPlan().toString()
