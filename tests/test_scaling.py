@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.functions import quantiles
-from orderlens.operators import explain, neighbors, orders, quality, recommend, returns, sampling
+from orderlens.operators import (explain, metrics, neighbors, orders, quality, recommend, returns,
+                                 sampling)
 from orderlens.plans import jobs
 from orderlens.sources import base_schemas
 
@@ -232,3 +233,12 @@ def test_additive_scores_are_attributed_without_growing(spark):
     plain = explain.shapley_values(score, df.where("x < 9 and y < 9"), cols,
                                    df.where("key < 'k2'"), "key")
     assert "Join" not in plain._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_each_score_is_written_out_once(spark):
+    scored = spark.range(200).select((F.col("id") % 2).alias("label"),
+                                     (F.col("id") * 0.37 % 1.0).alias("score"))
+    auc = metrics.roc_auc(scored)
+    plan = auc._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_string(") == 1 and plan.count("regexp") == 2
+    assert 0 <= auc.first()["value"] <= 1
